@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import Column
@@ -18,25 +19,34 @@ _WEEKDAY = r"(?i)^\s*(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+"
 _DATELESS = r"(?i)^\s*$|^\s*\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(am|pm)?\s*$"
 
 
-def parse_time(column: Column, runtime: Column) -> Column:
-    """Free-form date to timestamp: ``runtime`` where the text holds no date, null where it cannot be read.
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once; spelled out, it would be repeated at each use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    Text without a zone is read in the session time zone.
-    """
-    text = F.regexp_replace(F.trim(column), _WEEKDAY, "")
+
+def _plain(column: Column) -> Column:
+    """The text without weekday and commas, zones as offsets."""
+    text = F.regexp_replace(column, _WEEKDAY, "")
     text = F.regexp_replace(text, r"(\d)T(\d)", "$1 $2")
-    text = F.regexp_replace(text, ",", "")
-    text = F.regexp_replace(text, r"\s+", " ")
+    text = F.trim(F.regexp_replace(text, r"[,\s]+", " "))
     for name, offset in ZONES.items():
         text = F.regexp_replace(text, rf"(?<=[\d\sMm]){name}$", offset)
     # One blank before the offset, no colon in it, and a fraction of six digits: few layouts then suffice.
     text = F.regexp_replace(text, r"(:\d{2}(?:\.\d+)?(?: [AaPp][Mm])?) ?([+-]\d{2}):?(\d{2})$", "$1 $2$3")
-    fraction = F.regexp_extract(text, r":\d{2}\.(\d+)", 1)
-    text = F.when(F.length(fraction) > 0,
-                  F.regexp_replace(text, r"(:\d{2})\.\d+", F.concat(F.lit("$1."), F.rpad(fraction, 6, "0")))
-                  ).otherwise(text)
-    tries = [F.try_to_timestamp(text, F.lit(d + c)) for d in DATES for c in CLOCKS]
-    return F.when(column.isNull() | column.rlike(_DATELESS), runtime).otherwise(F.coalesce(*tries))
+    text = F.regexp_replace(text, r"(:\d{2}\.\d+)", "$1000000")
+    return F.regexp_replace(text, r"(:\d{2}\.\d{6})\d*", "$1")
+
+
+def parse_time(column: Column, runtime: Column) -> Column:
+    """Free-form date to timestamp: ``runtime`` where the text holds no date, null where it cannot be read.
+
+    Text without a zone is read in the session time zone.
+    """
+    def read(text: Column) -> Column:
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(d + c)) for d in DATES for c in CLOCKS])
+
+    dateless = column.isNull() | column.rlike(_DATELESS)
+    return F.when(dateless, runtime).otherwise(_bind(_plain(column), read))
 
 
 def format_time(column: Column) -> Column:

@@ -1,7 +1,8 @@
 """Clustering of each window's articles, and what is derived from the clusters.
 
 Every method works on the representatives of a ``Corpus`` and returns ``(begin, end, article_id, label)``, the
-label being the smallest article of the cluster. Articles it leaves out are on their own.
+label being the smallest article of the cluster; the copies of a representative share its label. An article on
+its own is its own label, and noise is left out.
 """
 
 from __future__ import annotations
@@ -24,12 +25,17 @@ from storyweave.session import checkpointed, staged
 COARSE, FINE = "COARSE", "FINE"
 
 
+def _complete(corpus: Corpus, labels: DataFrame) -> DataFrame:
+    return (corpus.reps.select(*RUN, "article_id").join(labels, [*RUN, "article_id"], "left")
+            .withColumn("label", F.coalesce("label", "article_id")))
+
+
 # Threshold components and the sweep over thresholds
 
 def threshold_components(corpus: Corpus, threshold: float = 0.4, min_cluster_size: int | None = None,
                          limits: Limits = Limits()) -> DataFrame:
     """Connected articles, an edge standing for cosine >= threshold. ``min_cluster_size`` has no effect."""
-    return components(similarity.edges(corpus.reps, threshold, "forest", limits))
+    return _complete(corpus, components(similarity.edges(corpus.reps, threshold, "forest", limits)))
 
 
 def thresholds(start: float, stop: float, steps: int) -> list[float]:
@@ -84,7 +90,7 @@ def sweep_components(corpus: Corpus, start: float = 0.2, stop: float = 0.6, step
     forest = checkpointed(forest)
     chosen = plateau_choice(counts, arbitration, drop_bottom)
     cut = forest.join(chosen.select(*RUN, "threshold"), RUN).filter("cosine >= threshold").drop("threshold")
-    return components(cut)
+    return _complete(corpus, components(cut))
 
 
 # Density clustering
@@ -157,7 +163,7 @@ def ward_threshold(corpus: Corpus, distance_threshold: float, limits: Limits = L
         step = merges.select(*RUN, F.col("b").alias("label"), F.col("a").alias("into"))
         labels = checkpointed(labels.join(step, [*RUN, "label"], "left")
                               .select(*RUN, "article_id", F.coalesce("into", "label").alias("label")))
-    return labels
+    return _complete(corpus, labels)
 
 
 def _ward_pairs(pairs: DataFrame, sums: DataFrame, ceiling: float) -> DataFrame:
@@ -266,10 +272,15 @@ class Clusters:
     keywords: DataFrame
 
 
-def label_all(corpus: Corpus, labels: DataFrame) -> DataFrame:
-    """``(begin, end, article_id, label, copies)`` for every representative; unlabelled ones stand alone."""
-    return (corpus.reps.select(*RUN, "article_id", "copies").join(labels, [*RUN, "article_id"], "left")
-            .withColumn("label", F.coalesce("label", "article_id")))
+def with_copies(corpus: Corpus, labels: DataFrame) -> DataFrame:
+    """``(begin, end, article_id, label, copies)`` of the labelled representatives."""
+    return labels.join(corpus.reps.select(*RUN, "article_id", "copies"), [*RUN, "article_id"])
+
+
+def label_members(corpus: Corpus, labels: DataFrame) -> DataFrame:
+    """Labels of all articles, copies too."""
+    rep = labels.select(*RUN, F.col("article_id").alias("rep"), "label")
+    return corpus.members.join(rep, [*RUN, "rep"]).select(*RUN, "article_id", "label")
 
 
 def drop_singletons(labelled: DataFrame) -> DataFrame:
@@ -314,14 +325,12 @@ def cluster_articles(counts: DataFrame, method: str, parameters: dict | None = N
     parameters = parameters or {}
     corpus = collapse_copies(tfidf_vectors(counts))
     labels = METHODS[method](corpus, **parameters)
-    labelled = staged(drop_singletons(label_all(corpus, labels)), "labelled")
+    labelled = staged(drop_singletons(with_copies(corpus, labels)), "labelled")
     kind, text = F.lit(method), F.lit(json.dumps(parameters, sort_keys=True))
     added = F.col("end") if runtime is None else F.lit(runtime).cast("timestamp")
     key = cluster_id(kind, text)
     clusters = labelled.select(*RUN, "label").distinct().select(
         key.alias("id"), kind.alias("type"), text.alias("parameters"), *RUN, added.alias("added_at"))
-    members = corpus.members.join(
-        labelled.select(*RUN, F.col("article_id").alias("rep"), "label"), [*RUN, "rep"])
-    links = members.select(key.alias("cluster_id"), "article_id")
+    links = label_members(corpus, labelled).select(key.alias("cluster_id"), "article_id")
     words = top_keywords(keyword_weights(corpus, labelled), limit)
     return Clusters(clusters, links, words.select(key.alias("cluster_id"), "term", "weight"))

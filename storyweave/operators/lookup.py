@@ -11,54 +11,59 @@ from storyweave.functions.times import interval_eq
 GRAM = 12
 
 
-def _exact(queries: DataFrame, articles: DataFrame) -> DataFrame:
-    return queries.join(articles.select("article_id", F.col("url").alias("article_url")),
-                        F.col("needle") == F.col("article_url"))
-
-
-def _grams(url: Column) -> Column:
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(url) - GRAM + 1),
-                                        lambda i: F.substring(url, i, F.lit(GRAM))))
+def _grams(url: Column, size: Column) -> Column:
+    places = F.when(F.length(url) >= size, F.sequence(F.lit(1), F.length(url) - size + 1))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(url, i, size)))
+
+
+def _containing(missed: DataFrame, articles: DataFrame, sizes: list[int], held: Column) -> DataFrame:
+    """Lookups joined to the articles holding them. Each lookup is represented by the rarest substring of its
+    piece; counting needs one row per substring and task, and the join only sees the rare ones."""
+    cuts = F.flatten(F.array(*[_grams(F.col("article_url"), F.lit(n)) for n in sizes]))
+    listed = articles.select("article_id", F.col("url").alias("article_url")).withColumn(
+        "gram", F.explode(F.filter(cuts, lambda g: g.isNotNull())))
+    size = F.least(F.length("piece"), F.lit(GRAM))
+    asked = missed.withColumn("gram", F.explode(_grams(F.col("piece"), size)))
+    spread = (listed.join(asked.select("gram").distinct(), "gram", "left_semi")
+              .groupBy("gram").agg(F.count("*").alias("held")))
+    # A substring no article holds settles a lookup at once: it is the rarest and joins nothing.
+    rarest = (asked.join(spread, "gram", "left").groupBy("query_id", "needle")
+              .agg(F.min_by("gram", F.struct(F.coalesce("held", F.lit(0)), "gram")).alias("gram")))
+    return rarest.join(listed, "gram").filter(held).select("query_id", "article_id", "article_url")
 
 
 def find_article(queries: DataFrame, articles: DataFrame, like_semantics: bool = False) -> DataFrame:
     """``(query_id, url, article_id)`` for ``queries(query_id, url, ...)``: the article whose URL contains the
-    looked-up one, its query string cut off; null where there is none, the smallest URL where there are several.
+    looked-up one, its query string cut off; null where there is none.
 
-    An equal URL is looked for first by an equality join. What is left is joined on one substring of fixed length
-    taken from the looked-up URL, the rarest one among the articles, and only then tested; so neither side is
-    broadcast whole nor compared with every row of the other. With ``like_semantics`` the signs ``%`` and ``_`` of
-    a URL match anything, as they do in SQL's LIKE; the substring is then taken between such signs. Looked-up URLs
-    without a piece long enough are compared with all articles.
+    An equal URL is preferred and found by an equality join; otherwise the smallest URL is taken. With
+    ``like_semantics`` the signs ``%`` and ``_`` of a looked-up URL match anything, as in SQL's LIKE; substrings are
+    then taken from its longest piece between such signs.
     """
-    asked = queries.withColumn("needle", strip_query(F.col("url")))
-    exact = _exact(asked, articles)
+    asked = queries.select("query_id", strip_query(F.col("url")).alias("needle"))
+    urls = articles.select("article_id", F.col("url").alias("article_url"))
+    exact = (asked.join(urls, F.col("needle") == F.col("article_url"))
+             .select("query_id", "article_id", "article_url"))
+    pieces = F.split("needle", "[%_]") if like_semantics else F.array("needle")
+    longest = F.array_max(F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
+    missed = asked.join(exact.select("query_id"), "query_id", "left_anti").withColumn("piece", longest)
     if like_semantics:
-        # A sign in the URL may match a smaller URL than the equal one.
-        plain = ~F.col("needle").rlike("[%_]")
+        pattern = F.concat(F.lit("%"), F.replace("needle", F.lit("\\"), F.lit("\\\\")), F.lit("%"))
+        held = F.like(F.col("article_url"), pattern)
     else:
-        plain = F.lit(True)
-    # A URL holding another one is longer than it, so the equal URL sorts first among them unless text precedes it.
-    missed = asked.join(exact.filter(plain).select("query_id"), "query_id", "left_anti")
-    pieces = F.split("needle", "[%_]") if like_semantics else F.array("needle")
-    piece = F.array_max(F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
-    missed = missed.withColumn("piece", piece)
-    held = (F.col("article_url").like(F.concat(F.lit("%"), F.replace("needle", F.lit("\\"), F.lit("\\\\")), F.lit("%")))
-            if like_semantics else F.col("article_url").contains(F.col("needle")))
-    long = missed.filter(F.length("piece") >= GRAM).withColumn("gram", F.explode(_grams(F.col("piece"))))
-    wanted = long.select("gram").distinct()
-    listed = (articles.filter(F.length("url") >= GRAM)
-              .select("article_id", F.col("url").alias("article_url"), F.explode(_grams(F.col("url"))).alias("gram"))
-              .join(wanted, "gram", "left_semi"))
-    spread = listed.groupBy("gram").agg(F.count("*").alias("held"))
-    rarest = (long.join(spread, "gram", "left")
-              .groupBy(*asked.columns).agg(F.min_by("gram", F.struct(F.coalesce("held", F.lit(0)), "gram")).alias("gram")))
-    partial = rarest.join(listed, "gram").filter(held).select("query_id", "article_id", "article_url")
-    short = missed.filter(F.length("piece") < GRAM)
-    everywhere = short.join(articles.select("article_id", F.col("url").alias("article_url")), held)
-    found = (exact.filter(plain).select("query_id", "article_id", "article_url").unionByName(partial)
-             .unionByName(everywhere.select("query_id", "article_id", "article_url"))
-             .groupBy("query_id").agg(F.min_by("article_id", F.struct("article_url", "article_id")).alias("article_id")))
+        held = F.col("article_url").contains(F.col("needle"))
+    partial = _containing(missed.filter(F.length("piece") >= GRAM), articles, [GRAM], held)
+    short = missed.filter(F.length("piece").between(1, GRAM - 1))
+    if not short.isEmpty():
+        partial = partial.unionByName(_containing(short, articles, list(range(1, GRAM)), held))
+    # Nothing but signs, or nothing at all, asks for a length only; one article per length answers it.
+    blank = missed.filter(F.length("piece") == 0).withColumn("least", F.length(F.replace("needle", F.lit("%"), F.lit(""))))
+    by_length = (urls.groupBy(F.length("article_url").alias("length"))
+                 .agg(F.min(F.struct("article_url", "article_id")).alias("first")))
+    any_match = (blank.join(by_length, F.col("length") >= F.col("least"))
+                 .select("query_id", "first.article_id", "first.article_url"))
+    found = (exact.unionByName(partial).unionByName(any_match).groupBy("query_id")
+             .agg(F.min_by("article_id", F.struct("article_url", "article_id")).alias("article_id")))
     return queries.join(found, "query_id", "left").select("query_id", "url", "article_id")
 
 

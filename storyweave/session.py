@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pages are long: hand them to Python a few at a time.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
