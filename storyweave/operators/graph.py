@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from storyweave.operators.windows import RUN
 from storyweave.session import checkpointed
 
-HOPS = 3  # doublings per round: an article moves up to 2**HOPS steps along the taken edges
+DOUBLINGS = 2  # per round: a node moves up to 2 ** DOUBLINGS steps along the taken edges
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -33,31 +33,37 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     order = F.struct((-F.col("cosine")).alias("c"), "a", "b")
     live = checkpointed(edges.select(*RUN, F.col("a").alias("u"), F.col("b").alias("v"), "cosine", "a", "b"))
-    hops = []
+    taken, hops = [], []
     while not live.isEmpty():
         picks = (_both_ways(live).groupBy(*RUN, "node")
                  .agg(F.min_by(F.struct("other", "a", "b", "cosine"), order).alias("pick"))
                  .select(*RUN, "node", "pick.*"))
-        up = checkpointed(_climb(picks))
+        first = checkpointed(_parents(picks))
+        taken.append(first.select(*RUN, "a", "b", "cosine"))
+        up = checkpointed(_climb(first))
         hops.append(up)
         live = checkpointed(_contract(live, up, order))
-    taken = [up.select(*RUN, "a", "b", "cosine") for up in hops]
     forest = reduce(DataFrame.unionByName, taken).distinct() if taken else edges.select(*RUN, "a", "b", "cosine")
     return forest, _labels(edges, hops)
 
 
-def _climb(picks: DataFrame) -> DataFrame:
-    """The picks with ``ancestor``, reached along them. Two nodes that picked the same edge point at each
-    other; the smaller one becomes a root."""
-    back = picks.select(*RUN, F.col("node").alias("other"), F.col("other").alias("back"))
-    is_root = (F.col("back") == F.col("node")) & (F.col("node") < F.col("other"))
-    up = (picks.join(back, [*RUN, "other"])
-          .withColumn("ancestor", F.when(is_root, F.col("node")).otherwise(F.col("other")))
-          .select(*RUN, "node", "ancestor", "a", "b", "cosine"))
-    for _ in range(HOPS):
+def _parents(picks: DataFrame) -> DataFrame:
+    """The picks with ``ancestor``, the node at the other end. Of two nodes that picked the same edge, and so each
+    other, the smaller becomes a root."""
+    pair = picks.groupBy(*RUN, "a", "b").agg(
+        F.first("cosine").alias("cosine"), F.count("*").alias("picked"), F.collect_list(F.struct("node", "other")).alias("ends"))
+    is_root = (F.col("picked") == 2) & (F.col("node") < F.col("other"))
+    return (pair.select(*RUN, "a", "b", "cosine", "picked", F.inline("ends"))
+            .withColumn("ancestor", F.when(is_root, F.col("node")).otherwise(F.col("other")))
+            .select(*RUN, "node", "ancestor", "a", "b", "cosine"))
+
+
+def _climb(first: DataFrame) -> DataFrame:
+    """``(node, ancestor)`` some steps further up. Where a path is longer, the next round goes on from there."""
+    up = first.select(*RUN, "node", "ancestor")
+    for _ in range(DOUBLINGS):
         step = up.select(*RUN, F.col("node").alias("ancestor"), F.col("ancestor").alias("next"))
-        up = (up.join(step, [*RUN, "ancestor"]).withColumn("ancestor", F.col("next"))
-              .select(*RUN, "node", "ancestor", "a", "b", "cosine"))
+        up = up.join(step, [*RUN, "ancestor"]).select(*RUN, "node", F.col("next").alias("ancestor"))
     return up
 
 

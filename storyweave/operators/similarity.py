@@ -118,9 +118,13 @@ def _split_terms(reps: DataFrame, threshold: float, limits: Limits) -> DataFrame
     heavy part. Articles whose remaining norm is below the threshold have no partner and are left out."""
     extra = [c for c in reps.columns if c not in (*RUN, "article_id", "vector")]
     postings = reps.select(*RUN, "article_id", *extra, F.inline("vector")).filter("weight > 0")
-    spread = postings.groupBy(*RUN, "term").agg(F.count("*").alias("held")).filter("held > 1")
+    # A window of one block is multiplied whole in one task; a light case would only add to that.
+    small = reps.groupBy(*RUN).agg(((F.sum(F.size("vector")) <= limits.block_postings)
+                                    & (F.count("*") <= limits.block_articles)).alias("small"))
+    spread = (postings.groupBy(*RUN, "term").agg(F.count("*").alias("held")).filter("held > 1").join(small, RUN)
+              .select(*RUN, "term", (F.col("small") | (F.col("held") > limits.light_terms)).alias("heavy")))
     squares = F.col("weight") * F.col("weight")
-    marked = postings.join(spread, [*RUN, "term"]).withColumn("heavy", F.col("held") > limits.light_terms)
+    marked = postings.join(spread, [*RUN, "term"])
     split = marked.groupBy(*RUN, "article_id", *extra).agg(
         F.collect_list(F.struct("term", "weight", "heavy")).alias("vector"),
         F.sqrt(F.sum(squares)).alias("norm"),

@@ -98,7 +98,7 @@ BOUNDS = f'{text_time("wb")} AS "begin", {text_time("we")} AS "end"'
 # Feed rows as the bodies were written: de and fr as Atom, de without dates, es with an empty summary.
 FEED = f"""feed AS (SELECT doc_id, lang, CAST(doc_id AS VARCHAR) AS rss_feed_id, CAST(substr(source, 4) AS INT) AS source_id,
   'Story ' || doc_id AS title, 'https://' || source || '.example.com/a/' || doc_id AS url,
-  CASE WHEN lang <> 'es' THEN '<p>' || lang || ' &amp; ' || n_chars || '</p>' END AS summary,
+  CASE WHEN lang <> 'es' THEN '<p>' || lang || ' &amp; ' || n_chars || '</p>' ELSE '' END AS summary,
   CASE WHEN lang <> 'es' THEN lang || '  ' || n_chars ELSE 'Story ' || doc_id END AS cleaned, {AT} AS moment
   FROM documents WHERE lang <> 'de')"""
 
