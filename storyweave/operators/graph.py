@@ -3,7 +3,7 @@
 Boruvka's rounds: every component takes its best outgoing edge (highest cosine, then smallest pair), which a
 total order of the edges makes part of the maximum spanning forest; components joined by taken edges are
 contracted. Each round at least halves the components that still have an edge, so the number of rounds is
-logarithmic, and all windows advance together.
+logarithmic, as is the number of pointer doublings within one; all windows advance together.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from storyweave.operators.windows import RUN
 from storyweave.session import checkpointed
 
-DOUBLINGS = 2  # per round: a node moves up to 2 ** DOUBLINGS steps along the taken edges
+DOUBLINGS = 2  # per check whether every node has reached its root
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
                  .select(*RUN, "node", "pick.*"))
         first = checkpointed(_parents(picks))
         taken.append(first.select(*RUN, "a", "b", "cosine"))
-        up = checkpointed(_climb(first))
+        up = _climb(first)
         hops.append(up)
         live = checkpointed(_contract(live, up, order))
     forest = reduce(DataFrame.unionByName, taken).distinct() if taken else edges.select(*RUN, "a", "b", "cosine")
@@ -59,12 +59,15 @@ def _parents(picks: DataFrame) -> DataFrame:
 
 
 def _climb(first: DataFrame) -> DataFrame:
-    """``(node, ancestor)`` some steps further up. Where a path is longer, the next round goes on from there."""
-    up = first.select(*RUN, "node", "ancestor")
-    for _ in range(DOUBLINGS):
-        step = up.select(*RUN, F.col("node").alias("ancestor"), F.col("ancestor").alias("next"))
-        up = up.join(step, [*RUN, "ancestor"]).select(*RUN, "node", F.col("next").alias("ancestor"))
-    return up
+    """``(node, ancestor)`` with the root as ancestor, by doubling the steps until nothing moves."""
+    up = first.select(*RUN, "node", "ancestor", F.lit(True).alias("moved"))
+    while not up.filter("moved").isEmpty():
+        for _ in range(DOUBLINGS):
+            step = up.select(*RUN, F.col("node").alias("ancestor"), F.col("ancestor").alias("next"))
+            up = up.join(step, [*RUN, "ancestor"]).select(
+                *RUN, "node", F.col("next").alias("ancestor"), (F.col("next") != F.col("ancestor")).alias("moved"))
+        up = checkpointed(up)
+    return up.drop("moved")
 
 
 def _contract(live: DataFrame, up: DataFrame, order) -> DataFrame:
@@ -82,12 +85,13 @@ def _contract(live: DataFrame, up: DataFrame, order) -> DataFrame:
 def _labels(edges: DataFrame, hops: list[DataFrame]) -> DataFrame:
     if not hops:
         return edges.select(*RUN, F.col("a").alias("article_id"), F.col("a").alias("label"))
-    labels = hops[0].select(*RUN, F.col("node").alias("article_id"), F.col("ancestor").alias("root"))
-    for up in hops[1:]:
-        step = up.select(*RUN, F.col("node").alias("root"), "ancestor")
-        labels = (labels.join(step, [*RUN, "root"], "left")
-                  .select(*RUN, "article_id", F.coalesce("ancestor", "root").alias("root")))
-    labels = checkpointed(labels)
+    # From the last round, the smallest, back to the first: each step stays as small as its round.
+    roots = hops[-1]
+    for up in reversed(hops[:-1]):
+        later = roots.select(*RUN, F.col("node").alias("ancestor"), F.col("ancestor").alias("root"))
+        roots = checkpointed(up.join(later, [*RUN, "ancestor"], "left")
+                             .select(*RUN, "node", F.coalesce("root", "ancestor").alias("ancestor")))
+    labels = roots.select(*RUN, F.col("node").alias("article_id"), F.col("ancestor").alias("root"))
     smallest = labels.groupBy(*RUN, "root").agg(F.min("article_id").alias("label"))
     return labels.join(smallest, [*RUN, "root"]).select(*RUN, "article_id", "label")
 

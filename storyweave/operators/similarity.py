@@ -114,23 +114,31 @@ def pair_dots(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def _split_terms(reps: DataFrame, threshold: float, limits: Limits) -> DataFrame:
-    """Vectors with each term marked light or heavy, terms of a single article left out, and the norm of the
-    heavy part. Articles whose remaining norm is below the threshold have no partner and are left out."""
+    """Vectors with each term marked light or heavy, and the norm of the heavy part.
+
+    A window of one block is multiplied whole in one task; a light case would only add to that, so its terms
+    all count as heavy. In larger windows terms of a single article are left out, and so are articles whose
+    remaining norm is below the threshold, since they have no partner.
+    """
     extra = [c for c in reps.columns if c not in (*RUN, "article_id", "vector")]
-    postings = reps.select(*RUN, "article_id", *extra, F.inline("vector")).filter("weight > 0")
-    # A window of one block is multiplied whole in one task; a light case would only add to that.
-    small = reps.groupBy(*RUN).agg(((F.sum(F.size("vector")) <= limits.block_postings)
+    sizes = reps.groupBy(*RUN).agg(((F.sum(F.size("vector")) <= limits.block_postings)
                                     & (F.count("*") <= limits.block_articles)).alias("small"))
-    spread = (postings.groupBy(*RUN, "term").agg(F.count("*").alias("held")).filter("held > 1").join(small, RUN)
-              .select(*RUN, "term", (F.col("small") | (F.col("held") > limits.light_terms)).alias("heavy")))
+    sized = reps.join(sizes, RUN)
+    entries = F.transform(F.filter("vector", lambda e: e["weight"] > 0), lambda e: F.struct(
+        e["term"].alias("term"), e["weight"].alias("weight"), F.lit(True).alias("heavy")))
+    whole = (sized.filter("small").select(*RUN, "article_id", *extra, entries.alias("vector"),
+                                          F.lit(1.0).alias("norm"), F.lit(1.0).alias("heavy_norm"))
+             .filter(F.size("vector") > 0))
+    postings = sized.filter("not small").select(*RUN, "article_id", *extra, F.inline("vector")).filter("weight > 0")
+    spread = (postings.groupBy(*RUN, "term").agg(F.count("*").alias("held")).filter("held > 1")
+              .select(*RUN, "term", (F.col("held") > limits.light_terms).alias("heavy")))
     squares = F.col("weight") * F.col("weight")
-    marked = postings.join(spread, [*RUN, "term"])
-    split = marked.groupBy(*RUN, "article_id", *extra).agg(
+    marked = postings.join(spread, [*RUN, "term"]).groupBy(*RUN, "article_id", *extra).agg(
         F.collect_list(F.struct("term", "weight", "heavy")).alias("vector"),
         F.sqrt(F.sum(squares)).alias("norm"),
         F.sqrt(F.coalesce(F.sum(F.when(F.col("heavy"), squares)), F.lit(0.0))).alias("heavy_norm"),
     ).filter(F.col("norm") >= threshold - SLACK)
-    return staged(split, "split")
+    return staged(whole.unionByName(marked), "split")
 
 
 def _light_pairs(split: DataFrame, threshold: float, limits: Limits, *carry: str) -> DataFrame:

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Sorts are skipped where the shuffled partitions turn out small enough to hash.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Pages are long: hand them to Python a few at a time.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
@@ -29,6 +31,13 @@ def build_session(app: str = "storyweave", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """The settings a running session can still take."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql."):
+            spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; only local masters may fall back to /tmp."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
