@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storyweave.functions.text import strip_query
 from storyweave.functions.times import interval_eq
+from storyweave.operators.ranking import ranked
 
 GRAM = 12
 
@@ -79,11 +80,10 @@ def related_articles(found: DataFrame, clusters: DataFrame, links: DataFrame, ar
     others = (mine.join(of_day, "cluster_id").filter("article_id <> asked")
               .select("query_id", "article_id").distinct())
     named = sources.select(F.col("id").alias("source_id"), F.col("name").alias("source"))
-    newest = Window.partitionBy("query_id").orderBy(F.desc("added_at"), "article_id")
-    return (others.join(articles.select("article_id", "source_id", "url", "published_at", "title", "added_at"), "article_id")
+    rows = (others.join(articles.select("article_id", "source_id", "url", "published_at", "title", "added_at"), "article_id")
             .join(named, "source_id")
-            .select("query_id", "url", F.col("published_at").alias("date"), "title", "source", "added_at", "article_id",
-                    F.row_number().over(newest).alias("position")))
+            .select("query_id", "url", F.col("published_at").alias("date"), "title", "source", "added_at", "article_id"))
+    return ranked(rows, ["query_id"], [F.desc("added_at"), F.col("article_id")])
 
 
 def response_count(found: DataFrame, related: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storyweave.functions.times import day_string, format_time, interval_eq
+from storyweave.operators.ranking import ranked
 
 
 def latest_added_at(clusters: DataFrame, cluster_range: dict[str, int]) -> DataFrame:
@@ -44,20 +45,19 @@ def latest_clusters(clusters: DataFrame, links: DataFrame, articles: DataFrame,
 def cluster_members(top: DataFrame, links: DataFrame, articles: DataFrame, sources: DataFrame) -> DataFrame:
     """``(cluster_id, position, title, url, source, date)``: members newest first, ties by article."""
     named = sources.select(F.col("id").alias("source_id"), F.col("name").alias("source"))
-    newest = Window.partitionBy("cluster_id").orderBy(F.desc("published_at"), "article_id")
-    return (links.join(top.select(F.col("id").alias("cluster_id")), "cluster_id", "left_semi")
+    members = (links.join(top.select(F.col("id").alias("cluster_id")), "cluster_id", "left_semi")
             .join(articles.select("article_id", "source_id", "title", "url", "published_at"), "article_id")
-            .join(named, "source_id")
-            .select("cluster_id", F.row_number().over(newest).alias("position"), "title", "url", "source",
-                    day_string(F.col("published_at")).alias("date")))
+            .join(named, "source_id"))
+    return ranked(members, ["cluster_id"], [F.desc("published_at"), F.col("article_id")]).select(
+        "cluster_id", "position", "title", "url", "source", day_string(F.col("published_at")).alias("date"))
 
 
 def collect_cluster(top: DataFrame, links: DataFrame, keywords: DataFrame, articles: DataFrame,
                     sources: DataFrame) -> DataFrame:
     """One row per top cluster: ``(id, added_at, size, topics, articles)``.
 
-    The members of a cluster become one array because the published document nests them so; only the few
-    clusters of the report are gathered, each ordered by the sort of its array.
+    The members of a cluster become one array because the published document nests them so, and only for the few
+    clusters of the report. ``cluster_members`` gives the same members as rows, whatever the size of a cluster.
     """
     wanted = top.select(F.col("id").alias("cluster_id"))
     topic = F.struct((-F.col("weight")).alias("order"), "term", "weight")

@@ -33,11 +33,24 @@ DIGITS = 9
 
 @dataclass(frozen=True)
 class Limits:
-    """Sizes that bound the work of one key or one task; none of them changes a result."""
+    """Sizes that bound the work of one key or one task; none of them changes a result.
+
+    Every article is sent to each block of its window. So blocks stay small while there are few of them, for the
+    sake of parallel work, and beyond ``even_blocks`` they grow up to the largest a task can hold.
+    """
 
     light_terms: int = 32
     block_postings: int = 500_000
     block_articles: int = 4096
+    even_blocks: int = 64
+    largest_block_postings: int = 4_000_000
+    largest_block_articles: int = 32_768
+
+    def blocks(self, postings: Column, articles: Column) -> Column:
+        """How many blocks to cut so many articles with so many postings into."""
+        wanted = F.greatest(F.ceil(postings / self.block_postings), F.ceil(articles / self.block_articles))
+        needed = F.greatest(F.ceil(postings / self.largest_block_postings), F.ceil(articles / self.largest_block_articles))
+        return F.coalesce(F.greatest(F.least(wanted, F.lit(self.even_blocks)), needed), F.lit(0)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -185,9 +198,7 @@ def _block_pairs(split: DataFrame, threshold: float, keep: str, limits: Limits)
     strong = F.col("heavy_norm") >= bar ** 0.5 - SLACK
 
     def blocks(of: Column) -> Column:
-        postings, articles = F.sum(F.when(of, F.size("vector"))), F.count(F.when(of, 1))
-        needed = F.greatest(F.ceil(postings / limits.block_postings), F.ceil(articles / limits.block_articles))
-        return F.coalesce(needed, F.lit(0)).cast("int")
+        return limits.blocks(F.sum(F.when(of, F.size("vector"))), F.count(F.when(of, 1)))
 
     sizes = eligible.groupBy(*RUN).agg(blocks(strong).alias("strong_blocks"), blocks(~strong).alias("weak_blocks"))
     spread = F.xxhash64("article_id")

@@ -38,16 +38,21 @@ def apply_settings(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; only local masters may fall back to /tmp."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; only local masters may do without."""
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="storyweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+        if context.applicationId not in _own_folders:
+            _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="storyweave-")
+        folder = _own_folders[context.applicationId]
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 

@@ -82,10 +82,10 @@ def corpus_of(spark, docs):
 
 
 def test_term_counts(spark):
-    docs = spark.createDataFrame([(1, "fake fake content"), (2, "fake content raaid"), (3, "")], "article_id int, content string")
+    docs = spark.createDataFrame([(1, "fake fake content"), (2, "fake content news"), (3, "")], "article_id int, content string")
     docs = docs.withColumn("added_at", F.lit("2024-01-01").cast("timestamp"))
     got = {(r.article_id, r.term, r["count"]) for r in terms.term_counts(docs).collect()}
-    assert got == {(1, "fake", 2), (1, "content", 1), (2, "fake", 1), (2, "content", 1), (2, "raaid", 1)}
+    assert got == {(1, "fake", 2), (1, "content", 1), (2, "fake", 1), (2, "content", 1), (2, "news", 1)}
 
 
 def test_tfidf_with_a_zero_row(spark):

@@ -95,3 +95,22 @@ def test_stream_dedupe_titles(spark, tmp_path):
     assert arrive(1, ("t", "u1"), ("t", "u2")) == {"u1", "u2"}
     assert arrive(3, ("t", "u3"), ("s", "u4"), ("s", "u4")) == {"u1", "u2", "u4"}
     assert arrive(12, ("t", "u5")) == {"u1", "u2", "u4", "u5"}
+
+
+def test_positions_of_a_group_larger_than_a_partition(spark):
+    from storyweave.operators.ranking import ranked
+
+    df = spark.range(2000).select(F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id") % 3).alias("g"), "id", (F.col("id") * 7919 % 101).alias("v"))
+    got = {(r.g, r.id): r.position for r in ranked(df, ["g"], [F.desc("v"), F.col("id")]).collect()}
+    rows = sorted(((r.g, -r.v, r.id) for r in df.collect()))
+    want, last, place = {}, None, 0
+    for g, _, i in rows:
+        place = place + 1 if g == last else 1
+        want[(g, i)], last = place, g
+    assert got == want
+
+
+def test_shared_folder_is_read_from_the_session(spark):
+    from storyweave.session import shared_folder
+
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
