@@ -512,6 +512,14 @@ def find_article(spark, folder):
     return lookup.find_article(_lookups(spark, folder), views.article(spark, folder))
 
 
+@query
+def find_article_like(spark, folder):
+    """Addresses with a sign that matches any letter."""
+    every = views.article(spark, folder)
+    asked = every.select(F.col("article_id").alias("query_id"), F.replace("url", F.lit("src"), F.lit("s_c")).alias("url"))
+    return lookup.find_article(asked, every, like_semantics=True)
+
+
 def _lookup_run(spark, folder):
     found = daily_clusters(spark, folder)
     every = views.article(spark, folder)

@@ -156,6 +156,7 @@ ORACLE: dict[str, str] = {
     "rejected_feeds": "SELECT CAST(doc_id AS VARCHAR) AS rss_feed_id, 'entry without date' AS reason FROM documents WHERE lang = 'de'",
     "entries_to_articles": f"""WITH {FEED} SELECT sha256(url) AS id, rss_feed_id, source_id, url, cleaned AS summary, title, CAST(NULL AS VARCHAR) AS authors,
         CASE WHEN lang = 'fr' THEN {text_time("moment")} ELSE {text_time("moment + INTERVAL 5 HOUR")} END AS published_at, '2024-06-01 00:00:00' AS added_at FROM feed""",
+    "parse_pages": """SELECT page_id AS article_id, '' AS content, '2024-01-01 00:00:00' AS added_at FROM pages WHERE contains(html, 'class="ad"')""",
     "dedupe_titles": f"""WITH {ARTICLE} SELECT article_id, source_id, url, {text_time('added_at')} AS added_at FROM article n WHERE NOT EXISTS (
         SELECT 1 FROM article o WHERE o.title = n.title AND o.source_id = n.source_id AND o.url <> n.url AND o.added_at > TIMESTAMP '2023-12-31 18:00:00')""",
     "strip_markup": f"SELECT page_id AS article_id, regexp_replace(html, '{MARKUP}', '', 'g') AS content FROM pages",
@@ -206,6 +207,9 @@ ORACLE: dict[str, str] = {
         size AS source_count, (SELECT count(*) FROM keywords WHERE cluster_id = top.id) AS topics, members AS articles,
         (SELECT arg_max(url, (added_at, -article_id)) FROM links JOIN article USING (article_id) WHERE cluster_id = top.id) AS newest FROM top""",
     "find_article": f"WITH {LOOKUPS} SELECT query_id, url, article_id FROM found",
+    "find_article_like": f"""WITH {ARTICLE}, asked AS (SELECT article_id AS query_id, replace(url, 'src', 's_c') AS url FROM article)
+        SELECT query_id, any_value(asked.url) AS url, arg_min(article_id, article.url) AS article_id
+        FROM asked JOIN article ON article.url LIKE '%' || asked.url || '%' GROUP BY query_id""",
     "related_articles": f"""{RELATED} SELECT query_id, position, article_id, url, {text_time('added_at')} AS date, title, name AS source
         FROM related JOIN source ON source.id = source_id""",
     "response_count": f"{RELATED} SELECT query_id, response_count FROM responses",
