@@ -14,9 +14,21 @@ ZONES = {"EST": "-0500", "EDT": "-0400", "GMT": "+0000", "UTC": "+0000", "Z": "+
 UNITS = ("days", "hours", "minutes", "seconds", "weeks")
 DATES = ("yyyy-MM-dd", "yyyy/MM/dd", "d MMM yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d yyyy", "M/d/yyyy")
 CLOCKS = ("[ HH:mm[:ss][.SSSSSS]][ xx]", " h:mm[:ss] a[ xx]")
+# Other spellings of dates and what they stand for, in order; $1 and so on are what the brackets hold.
+SPELLINGS = (
+    (r" ?\([^)]*\)$", ""),
+    (r"^(\d{4})(\d{2})(\d{2})(?= |$)", "$1-$2-$3"),
+    (r"(?<= )(\d{2})(\d{2})(\d{2})(?=$|[ +Z-])", "$1:$2:$3"),
+    (r"^([A-Za-z]{3,9} \d{1,2}) (\d{1,2}:\d{2}(?::\d{2})?) (\d{4})$", "$1 $3 $2"),
+    (r"(?<= )(\d):(\d{2})", "0$1:$2"),
+    (r"^(\d{1,2} [A-Za-z]{3,9}) ([0-6]\d|7[0-5])(?= |$)", "$1 20$2"),
+    (r"^(\d{1,2} [A-Za-z]{3,9}) (\d{2})(?= |$)", "$1 19$2"),
+    (r"^(1[3-9]|2\d|3[01])[./](\d{1,2})[./](\d{4})", "$2/$1/$3"),
+    (r"^(\d{1,2})\.(\d{1,2})\.(\d{4})", "$1/$2/$3"),
+)
 
 _WEEKDAY = r"(?i)^\s*(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+"
-_DATELESS = r"(?i)^\s*$|^\s*\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(am|pm)?\s*$"
+_CLOCK = r"(?i)^\s*\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(am|pm)?\s*$"
 
 
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -29,8 +41,12 @@ def _plain(column: Column) -> Column:
     text = F.regexp_replace(column, _WEEKDAY, "")
     text = F.regexp_replace(text, r"(\d)T(\d)", "$1 $2")
     text = F.trim(F.regexp_replace(text, r"[,\s]+", " "))
+    for written, plain in SPELLINGS:
+        text = F.regexp_replace(text, written, plain)
     for name, offset in ZONES.items():
         text = F.regexp_replace(text, rf"(?<=[\d\sMm]){name}$", offset)
+    # A zone of another name is not known, so the time is read without it.
+    text = F.regexp_replace(text, r"(?<=\d) (?!AM$|PM$)[A-Z]{2,5}$", "")
     # One blank before the offset, no colon in it, and a fraction of six digits: few layouts then suffice.
     text = F.regexp_replace(text, r"(:\d{2}(?:\.\d+)?(?: [AaPp][Mm])?) ?([+-]\d{2}):?(\d{2})$", "$1 $2$3")
     text = F.regexp_replace(text, r"(:\d{2}\.\d+)", "$1000000")
@@ -38,15 +54,18 @@ def _plain(column: Column) -> Column:
 
 
 def parse_time(column: Column, runtime: Column) -> Column:
-    """Free-form date to timestamp: ``runtime`` where the text holds no date, null where it cannot be read.
+    """Free-form date to timestamp: ``runtime`` where the text is blank, its day where there is only a clock, null where it
+    cannot be read.
 
     Text without a zone is read in the session time zone.
     """
     def read(text: Column) -> Column:
         return F.coalesce(*[F.try_to_timestamp(text, F.lit(d + c)) for d in DATES for c in CLOCKS])
 
-    dateless = column.isNull() | column.rlike(_DATELESS)
-    return F.when(dateless, runtime).otherwise(_bind(_plain(column), read))
+    today = F.concat(F.date_format(runtime, "yyyy-MM-dd "), F.trim(column))
+    dated = F.when(column.rlike(_CLOCK), today).otherwise(column)
+    blank = column.isNull() | (F.trim(column) == "")
+    return F.when(blank, runtime).otherwise(_bind(_plain(dated), read))
 
 
 def format_time(column: Column) -> Column:

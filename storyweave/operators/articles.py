@@ -24,6 +24,37 @@ def dedupe_titles(new: DataFrame, existing: DataFrame, runtime: Column,
     return new.join(recent, other, "left_anti")
 
 
+def fresh_titles(new: DataFrame, present: DataFrame, look_back: timedelta) -> DataFrame:
+    """The rows of ``new`` to add, each at its own tag ``added_at``: those whose URL is not there yet, unless a row with the
+    same title and source was added within the look-back before the tag.
+
+    A title's rows are gone through in the order of their tags; what is gathered for one is the addresses of its
+    own new rows and the tags of those present. An address is taken to keep its title and source.
+    """
+    length = int(look_back / timedelta(microseconds=1))
+    moment = F.unix_micros("added_at")
+    unseen = new.join(present.select("url"), "url", "left_anti")
+    titled = ["title", "source_id"]
+    entries = unseen.groupBy(*titled).agg(F.array_sort(F.collect_set(F.struct(moment.alias("at"), "url"))).alias("entries"))
+    since = unseen.agg((F.min(moment) - length).alias("since"))
+    recent = present.crossJoin(F.broadcast(since)).filter(moment > F.col("since"))  # one row
+    added = recent.groupBy(*titled).agg(F.collect_set(moment).alias("earlier"))
+    listed = entries.join(added, titled, "left").withColumn("earlier", F.coalesce("earlier", F.array().cast("array<bigint>")))
+    none = F.filter("entries", lambda e: F.lit(False))
+
+    def taken(kept: Column, entry: Column) -> Column:
+        tags = F.concat(F.col("earlier"), F.transform(kept, lambda k: k["at"]))
+        told = F.exists(tags, lambda t: (t < entry["at"]) & (t > entry["at"] - length))
+        known = F.exists(kept, lambda k: k["url"] == entry["url"])
+        return F.when(told | known, kept).otherwise(F.concat(kept, F.array(entry)))
+
+    kept = listed.filter("title is not null and source_id is not null").select(
+        *titled, F.inline(F.aggregate("entries", none, taken)))
+    found = unseen.join(kept.select(*titled, "url", F.timestamp_micros("at").alias("added_at")), [*titled, "url", "added_at"], "left_semi")
+    # Without a title or source a row is like no other.
+    return found.unionByName(unseen.filter("title is null or source_id is null").select(*found.columns)).select(*new.columns)
+
+
 def accept_pages(responses: DataFrame, runtime: Column) -> DataFrame:
     """Fetched pages with status 200 as ``(article_id, content, added_at)``."""
     return responses.filter("status = 200").select("article_id", "content", runtime.alias("added_at"))

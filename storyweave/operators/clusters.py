@@ -32,9 +32,8 @@ def _complete(corpus: Corpus, labels: DataFrame) -> DataFrame:
 
 # Threshold components and the sweep over thresholds
 
-def threshold_components(corpus: Corpus, threshold: float = 0.4, min_cluster_size: int | None = None,
-                         limits: Limits = Limits()) -> DataFrame:
-    """Connected articles, an edge standing for cosine >= threshold. ``min_cluster_size`` has no effect."""
+def threshold_components(corpus: Corpus, threshold: float = 0.4, limits: Limits = Limits()) -> DataFrame:
+    """Connected articles, an edge standing for cosine >= threshold; at a threshold of 0 or less for any cosine above 0."""
     return _complete(corpus, components(similarity.edges(corpus.reps, threshold, "forest", limits)))
 
 
@@ -104,6 +103,8 @@ def dbscan(corpus: Corpus, eps: float = 0.5, min_samples: int = 5, emit_noise: b
     ``emit_noise`` all noise forms one cluster labelled -1.
     """
     bar = 1 - eps * eps / 2
+    if bar <= 0:
+        return _dense_everywhere(corpus, min_samples, emit_noise)
     near = similarity.degrees(corpus.reps, bar, limits)
     held = F.col("copies") + F.coalesce("neighbours", F.lit(0))
     flagged = staged(corpus.reps.join(near, [*RUN, "article_id"], "left")
@@ -129,6 +130,17 @@ def dbscan(corpus: Corpus, eps: float = 0.5, min_samples: int = 5, emit_noise: b
     return clustered.unionByName(noise.select(*RUN, "article_id", F.lit(-1).cast(kind).alias("label")))
 
 
+def _dense_everywhere(corpus: Corpus, min_samples: int, emit_noise: bool) -> DataFrame:
+    """Unit vectors without a negative weight are at most the root of 2 apart, so each window is one cluster, or all noise."""
+    held = corpus.reps.groupBy(*RUN).agg(F.sum("copies").alias("articles"), F.min("article_id").alias("label"))
+    kind = corpus.reps.schema["article_id"].dataType
+    enough = F.col("articles") >= min_samples
+    named = held.withColumn("label", F.when(enough, F.col("label")).otherwise(F.lit(-1).cast(kind)))
+    if not emit_noise:
+        named = named.filter(enough)
+    return corpus.reps.select(*RUN, "article_id").join(named.select(*RUN, "label"), RUN)
+
+
 # Ward clustering below a distance
 
 def _ward_square(size_a: Column, size_b: Column, norm_a: Column, norm_b: Column, dot: Column) -> Column:
@@ -143,6 +155,8 @@ def ward_threshold(corpus: Corpus, distance_threshold: float, limits: Limits = L
     so this ends in the same clusters as one merge at a time. Two clusters at least T from a third stay at
     least T from it when they merge at less than T, so pairs at T or more need never be looked at again.
     """
+    if distance_threshold ** 2 >= 2:
+        raise ValueError("articles without a common term are the root of 2 apart: at that distance all of a window is one cluster")
     ceiling = round(distance_threshold ** 2, similarity.DIGITS)
     near = similarity.edges(corpus.reps, 1 - distance_threshold ** 2 / 2, "pairs", limits).select(*RUN, "a", "b")
     near = staged(near, "ward_pairs")

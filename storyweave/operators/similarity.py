@@ -1,17 +1,9 @@
 """Exact cosine self-join of TF-IDF vectors, per window.
 
-Equal vectors are first collapsed to one representative, so a group of copies costs one row. Terms are then
-split by the number of representatives holding them:
-
-* a *light* term is held by at most ``light_limit`` of them; joining on it gives a bounded number of pairs;
-* the other terms are *heavy*. With h the norm of an article's heavy part, the heavy terms of two articles
-  add at most ``h_a * h_b`` to their cosine (Cauchy-Schwarz).
-
-A pair with ``h_a * h_b`` below the threshold t must therefore share a light term: this light case sums the
-light part by a join, discards pairs that ``light + h_a * h_b`` does not lift to t, and adds the heavy part of
-the rest. All other pairs are the block case: articles are cut into blocks of bounded size and block is
-multiplied with block inside tasks, so no list of pairs sharing a heavy term ever exists. Only pairs that
-reach t leave a task, or fewer still where the caller needs just connectivity or counts.
+Equal vectors are first collapsed to one representative, so a group of copies costs one row. The representatives of a window
+are dealt into blocks of bounded size, and block is multiplied with block inside tasks, so no list of pairs sharing a term ever
+exists. Only pairs that reach the threshold leave a task, or fewer still where the caller needs just connectivity or
+counts. It is the same for a window of one block and for one of thousands.
 """
 
 from __future__ import annotations
@@ -33,24 +25,14 @@ DIGITS = 9
 
 @dataclass(frozen=True)
 class Limits:
-    """Sizes that bound the work of one key or one task; none of them changes a result.
+    """Sizes that bound the work of one task; none of them changes a result."""
 
-    Every article is sent to each block of its window. So blocks stay small while there are few of them, for the
-    sake of parallel work, and beyond ``even_blocks`` they grow up to the largest a task can hold.
-    """
-
-    light_terms: int = 32
-    block_postings: int = 500_000
-    block_articles: int = 4096
-    even_blocks: int = 64
-    largest_block_postings: int = 4_000_000
-    largest_block_articles: int = 32_768
+    block_postings: int = 1_000_000
+    block_articles: int = 8192
 
     def blocks(self, postings: Column, articles: Column) -> Column:
         """How many blocks to cut so many articles with so many postings into."""
-        wanted = F.greatest(F.ceil(postings / self.block_postings), F.ceil(articles / self.block_articles))
-        needed = F.greatest(F.ceil(postings / self.largest_block_postings), F.ceil(articles / self.largest_block_articles))
-        return F.coalesce(F.greatest(F.least(wanted, F.lit(self.even_blocks)), needed), F.lit(0)).cast("int")
+        return F.greatest(F.ceil(postings / self.block_postings), F.ceil(articles / self.block_articles), F.lit(1)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -97,20 +79,13 @@ def edges(reps: DataFrame, threshold: float, keep: str = "pairs", limits: Limits
     threshold and at every higher one. With a boolean column ``core`` in ``reps``, a forest is taken among core
     articles only; pairs with another article are all kept, and those without any core one dropped.
     """
-    split = _split_terms(reps, threshold, limits)
-    return _light_pairs(split, threshold, limits).unionByName(_block_pairs(split, threshold, keep, limits))
+    return _block_pairs(reps, threshold, keep, limits)
 
 
 def degrees(reps: DataFrame, threshold: float, limits: Limits = Limits()) -> DataFrame:
     """``(begin, end, article_id, neighbours)``: articles, copies counted, within the threshold of each
     representative other than its own copies; representatives without any are absent."""
-    split = _split_terms(reps, threshold, limits)
-    pairs = _light_pairs(split, threshold, limits, "copies")
-    light = pairs.select(*RUN, F.inline(F.array(
-        F.struct(F.col("a").alias("article_id"), F.col("b_copies").alias("neighbours")),
-        F.struct(F.col("b").alias("article_id"), F.col("a_copies").alias("neighbours")))))
-    block = _block_pairs(split, threshold, "degree", limits)
-    return (light.unionByName(block).groupBy(*RUN, "article_id")
+    return (_block_pairs(reps, threshold, "degree", limits).groupBy(*RUN, "article_id")
             .agg(F.sum("neighbours").alias("neighbours")))
 
 
@@ -126,94 +101,23 @@ def pair_dots(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
             .filter("held = 2").groupBy(*RUN, "a", "b").agg(F.sum("part").alias("dot")))
 
 
-def _split_terms(reps: DataFrame, threshold: float, limits: Limits) -> DataFrame:
-    """Vectors with each term marked light or heavy, and the norm of the heavy part.
-
-    A window of one block is multiplied whole in one task; a light case would only add to that, so its terms
-    all count as heavy. In larger windows terms of a single article are left out, and so are articles whose
-    remaining norm is below the threshold, since they have no partner.
-    """
-    extra = [c for c in reps.columns if c not in (*RUN, "article_id", "vector")]
-    sizes = reps.groupBy(*RUN).agg(((F.sum(F.size("vector")) <= limits.block_postings)
-                                    & (F.count("*") <= limits.block_articles)).alias("small"))
-    sized = reps.join(sizes, RUN)
-    entries = F.transform(F.filter("vector", lambda e: e["weight"] > 0), lambda e: F.struct(
-        e["term"].alias("term"), e["weight"].alias("weight"), F.lit(True).alias("heavy")))
-    whole = (sized.filter("small").select(*RUN, "article_id", *extra, entries.alias("vector"),
-                                          F.lit(1.0).alias("norm"), F.lit(1.0).alias("heavy_norm"))
-             .filter(F.size("vector") > 0))
-    postings = sized.filter("not small").select(*RUN, "article_id", *extra, F.inline("vector")).filter("weight > 0")
-    spread = (postings.groupBy(*RUN, "term").agg(F.count("*").alias("held")).filter("held > 1")
-              .select(*RUN, "term", (F.col("held") > limits.light_terms).alias("heavy")))
-    squares = F.col("weight") * F.col("weight")
-    marked = postings.join(spread, [*RUN, "term"]).groupBy(*RUN, "article_id", *extra).agg(
-        F.collect_list(F.struct("term", "weight", "heavy")).alias("vector"),
-        F.sqrt(F.sum(squares)).alias("norm"),
-        F.sqrt(F.coalesce(F.sum(F.when(F.col("heavy"), squares)), F.lit(0.0))).alias("heavy_norm"),
-    ).filter(F.col("norm") >= threshold - SLACK)
-    return staged(whole.unionByName(marked), "split")
-
-
-def _light_pairs(split: DataFrame, threshold: float, limits: Limits, *carry: str) -> DataFrame:
-    core = ["core"] if "core" in split.columns else []
-    kept = [*carry, *core]
-    light = split.select(*RUN, "article_id", "norm", "heavy_norm", *kept, F.inline("vector")).filter("not heavy")
-
-    def side(name: str) -> DataFrame:
-        return light.select(*RUN, "term", F.col("article_id").alias(name), F.col("weight").alias(f"{name}_weight"),
-                            *[F.col(c).alias(f"{name}_{c}") for c in ("norm", "heavy_norm", *kept)])
-
-    bar = threshold - SLACK
-    rest = F.col("a_heavy_norm") * F.col("b_heavy_norm")
-    wanted = (F.col("a") < F.col("b")) & (F.col("a_norm") * F.col("b_norm") >= bar) & (rest < bar)
-    if core:
-        wanted &= F.col("a_core") | F.col("b_core")
-    attributes = [f"{s}_{c}" for s in "ab" for c in kept]
-    summed = (side("a").join(side("b"), [*RUN, "term"]).filter(wanted)
-              .groupBy(*RUN, "a", "b", *attributes)
-              .agg(F.sum(F.col("a_weight") * F.col("b_weight")).alias("light"), F.max(rest).alias("rest"))
-              .filter(F.col("light") + F.col("rest") >= bar))
-    summed = staged(summed, "light_pairs")
-    heavy = split.select(*RUN, "article_id", F.filter("vector", lambda e: e["heavy"]).alias("vector"))
-    open_pairs = summed.filter("rest > 0")
-    heavy_part = pair_dots(open_pairs, heavy).withColumnRenamed("dot", "heavy")
-    cosine = F.round(F.col("light") + F.coalesce("heavy", F.lit(0.0)), DIGITS)
-    return (summed.join(heavy_part, [*RUN, "a", "b"], "left").withColumn("cosine", cosine)
-            .filter(F.col("cosine") >= threshold).select(*RUN, "a", "b", "cosine", *attributes)
-            .drop(*[f"{s}_core" for s in "ab"]))
-
-
-def _block_pairs(split: DataFrame, threshold: float, keep: str, limits: Limits) -> DataFrame:
-    """Block against block, among articles whose heavy norm can take part in a product of at least t.
-
-    Articles below sqrt(t) go to weak blocks; two of them never belong to the block case, so weak blocks are
-    paired with strong ones only.
-    """
-    bar = threshold - SLACK
-    eligible = split.filter(F.col("heavy_norm") >= bar - SLACK)
-    if "core" not in eligible.columns:
-        eligible = eligible.withColumn("core", F.lit(True))
-    if "copies" not in eligible.columns:
-        eligible = eligible.withColumn("copies", F.lit(1).cast("long"))
-    strong = F.col("heavy_norm") >= bar ** 0.5 - SLACK
-
-    def blocks(of: Column) -> Column:
-        return limits.blocks(F.sum(F.when(of, F.size("vector"))), F.count(F.when(of, 1)))
-
-    sizes = eligible.groupBy(*RUN).agg(blocks(strong).alias("strong_blocks"), blocks(~strong).alias("weak_blocks"))
-    spread = F.xxhash64("article_id")
-    block = F.when(strong, F.pmod(spread, F.col("strong_blocks"))).otherwise(
-        F.col("strong_blocks") + F.pmod(spread, F.col("weak_blocks"))).cast("int")
-    partners = F.when(strong, F.col("strong_blocks") + F.col("weak_blocks")).otherwise(F.col("strong_blocks"))
-    placed = (eligible.join(sizes, RUN).withColumn("block", block).withColumn("partners", partners)
-              .filter("partners > 0"))
-    copies = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("partners") - 1))).select(
+def _block_pairs(reps: DataFrame, threshold: float, keep: str, limits: Limits) -> DataFrame:
+    """Block against block. A threshold of 0 or less means any cosine above 0, as an article shares nothing with most."""
+    entries = F.filter("vector", lambda e: e["weight"] > 0)
+    held = reps.withColumn("vector", entries).filter(F.size("vector") > 0)
+    if "core" not in held.columns:
+        held = held.withColumn("core", F.lit(True))
+    if "copies" not in held.columns:
+        held = held.withColumn("copies", F.lit(1).cast("long"))
+    sizes = held.groupBy(*RUN).agg(limits.blocks(F.sum(F.size("vector")), F.count("*")).alias("blocks"))
+    placed = held.join(sizes, RUN).withColumn("block", F.pmod(F.xxhash64("article_id"), F.col("blocks")).cast("int"))
+    copies = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         *RUN, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
-        "article_id", "copies", "core", "heavy_norm",
+        "article_id", "copies", "core",
         F.transform("vector", lambda e: e["term"]).alias("terms"),
         F.transform("vector", lambda e: e["weight"]).alias("weights"))
-    kind = split.schema["article_id"].dataType
-    run = [T.StructField(c, split.schema[c].dataType) for c in RUN]
+    kind = reps.schema["article_id"].dataType
+    run = [T.StructField(c, reps.schema[c].dataType) for c in RUN]
     if keep == "degree":
         schema = T.StructType([*run, T.StructField("article_id", kind), T.StructField("neighbours", T.LongType())])
     else:
@@ -235,7 +139,6 @@ def _multiply(threshold: float, keep: str):
         block = group.column("block").to_numpy()
         core = group.column("core").to_numpy()
         copies = group.column("copies").to_numpy()
-        heavy_norm = group.column("heavy_norm").to_numpy()
         terms = group.column("terms").combine_chunks()
         codes = pa.array(terms.flatten()).dictionary_encode().indices.to_numpy(zero_copy_only=False)
         weights = group.column("weights").combine_chunks().flatten().to_numpy()
@@ -266,10 +169,10 @@ def _multiply(threshold: float, keep: str):
             index = np.repeat(starts[mine] - shift, spans) + np.arange(total)
             factor = np.repeat(weights[offsets[row]:offsets[row + 1]], spans)
             scores = np.bincount(list_rows[index], weights=list_weights[index] * factor, minlength=len(right))
-            hits = np.flatnonzero(scores >= threshold - SLACK)
+            hits = np.flatnonzero((scores >= threshold - SLACK) & (scores > 0))
             cosine = np.round(scores[hits], DIGITS)
             partner = right[hits]
-            good = (cosine >= threshold) & (heavy_norm[partner] * heavy_norm[row] >= threshold - SLACK)
+            good = cosine >= threshold
             if diagonal:
                 good &= partner > row
             out.add(row, partner[good], cosine[good])

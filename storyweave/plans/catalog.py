@@ -190,7 +190,9 @@ def fetch_report(spark, folder):
 def write_clusters(spark, folder):
     path = fresh_path(spark, "clusters")
     found = daily_clusters(spark, folder)
-    tables.write_clusters(found, path)
+    # The same run twice, as when it is repeated after a failure.
+    for _ in range(2):
+        tables.write_clusters(found, path)
     kept = spark.read.schema(found.clusters.schema).parquet(f"{path}/articlecluster")
     links = spark.read.schema(found.links.schema).parquet(f"{path}/articleclusterlink")
     words = spark.read.schema(found.keywords.schema).parquet(f"{path}/articleclusterkeyword")
@@ -284,11 +286,11 @@ def strip_query(spark, folder):
 @query
 def parse_time(spark, folder):
     events = table(spark, folder, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
-    written = (F.when(F.col("event_type") == "click", F.concat(F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" EST")))
-               .when(F.col("event_type") == "view", F.concat(F.date_format("ts", "EEE, d MMM yyyy HH:mm"), F.lit(" EDT")))
-               .when(F.col("event_type") == "purchase", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-               .when(F.col("event_type") == "signup", F.date_format("ts", "HH:mm:ss"))
-               .otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("+02:00"))))
+    layouts = [("EEE, dd MMM yyyy HH:mm:ss", " EST"), ("EEE, d MMM yyyy HH:mm", " EDT"), ("yyyy-MM-dd'T'HH:mm:ss'Z'", ""), ("HH:mm:ss", ""),
+               ("yyyy-MM-dd HH:mm:ss", "+02:00"), ("dd MMM yy HH:mm:ss", " GMT"), ("EEE, dd MMM yyyy HH:mm:ss", " PST"), ("EEE MMM d HH:mm:ss yyyy", ""),
+               ("yyyyMMdd'T'HHmmss'Z'", ""), ("EEE, dd MMM yyyy HH:mm:ss", " +0000 (UTC)"), ("MM.dd.yyyy HH:mm", ""), ("dd MMM yyyy HH:mm:ss", " UT")]
+    kind = F.pmod("event_id", F.lit(len(layouts)))
+    written = F.coalesce(*[F.when(kind == i, F.concat(F.date_format("ts", layout), F.lit(zone))) for i, (layout, zone) in enumerate(layouts)])
     parsed = times.parse_time(written, F.lit("2024-06-01 00:00:00").cast("timestamp"))
     return shown(events.select("event_id", parsed.alias("parsed")))
 
@@ -371,6 +373,26 @@ def _labels(spark, folder, method: str, **parameters) -> DataFrame:
     return shown(clusters.label_members(corpus, clusters.METHODS[method](corpus, **parameters)))
 
 
+# Sizes so small that each window is many blocks.
+SMALL_BLOCKS = similarity.Limits(block_postings=20_000, block_articles=40)
+
+
+@query
+def similar_pairs_blocks(spark, folder):
+    pairs = similarity.similar_pairs(terms.tfidf_vectors(daily(spark, folder)), THRESHOLD, SMALL_BLOCKS)
+    return shown(pairs.withColumn("cosine", F.round("cosine", 6)))
+
+
+@query
+def threshold_clusters_blocks(spark, folder):
+    return _labels(spark, folder, "threshold", threshold=THRESHOLD, limits=SMALL_BLOCKS)
+
+
+@query
+def dbscan_clusters_blocks(spark, folder):
+    return _labels(spark, folder, "dbscan", eps=1.0, min_samples=3, limits=SMALL_BLOCKS)
+
+
 @query
 def threshold_clusters(spark, folder):
     """Labels in every closed day, single articles included."""
@@ -572,7 +594,7 @@ def stream_term_counts(spark, folder):
     chain.chain(docs, lambda batch: batch, f"{root}/parsedcontent", parsed, ["article_id"], [F.col("added_at")], f"{root}/cp1")
     upstream = spark.readStream.schema(parsed).parquet(f"{root}/parsedcontent")
     chain.stream_term_counts(upstream, f"{root}/termcount", counts, f"{root}/cp2")
-    return chain.table_at(spark, f"{root}/termcount", counts).select("article_id", "term", "count")
+    return tables.table_at(spark, f"{root}/termcount", counts).select("article_id", "term", "count")
 
 
 @query
@@ -582,10 +604,11 @@ def stream_dedupe_titles(spark, folder):
     schema = _schema("article_id", "source_id", "url", "title", "added_at")
     first = views.article(spark, folder).select(*schema.fieldNames())
     tables.append(first, f"{root}/articles")
+    later = F.col("doc_id") + 1_000_000
     again = _document_stream(spark, folder).select(
         F.col("doc_id").alias("article_id"), F.substring("source", 4, 10).cast("int").alias("source_id"),
         F.concat(F.lit("https://new.example.com/"), F.col("doc_id")).alias("url"),
         F.when(F.col("lang") == "en", F.substring("text", 1, 60)).otherwise(F.concat(F.lit("Re "), F.substring("text", 1, 60))).alias("title"),
-        views.slot_time(F.col("doc_id")).alias("added_at"))
+        views.slot_time(later).alias("added_at"))
     chain.stream_dedupe_titles(again, f"{root}/articles", schema, f"{root}/cp", LONG)
-    return shown(chain.table_at(spark, f"{root}/articles", schema))
+    return shown(tables.table_at(spark, f"{root}/articles", schema))

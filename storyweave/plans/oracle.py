@@ -131,6 +131,11 @@ RESPONSES = """resp AS (SELECT page_id, html, CASE WHEN contains(url, '?') THEN
 MARKUP = "<.*?>|&([a-z0-9]+|#[0-9]{1,6}|#x[0-9a-f]{1,6});"
 STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
+# What each layout of the query says, by event.
+PARSED = """CASE event_id % 12 WHEN 0 THEN date_trunc('second', ts) + INTERVAL 5 HOUR WHEN 1 THEN date_trunc('minute', ts) + INTERVAL 4 HOUR
+    WHEN 3 THEN TIMESTAMP '2024-06-01' + (date_trunc('second', ts) - date_trunc('day', ts)) WHEN 4 THEN date_trunc('second', ts) - INTERVAL 2 HOUR
+    WHEN 10 THEN date_trunc('minute', ts) ELSE date_trunc('second', ts) END"""
+
 ORACLE: dict[str, str] = {
     "load_registry": f"WITH {SOURCE} SELECT id, name FROM source",
     "select_sources": f"WITH {SOURCE} SELECT id, name FROM source WHERE name IN ('src1', 'src2', 'src3')",
@@ -161,7 +166,7 @@ ORACLE: dict[str, str] = {
         SELECT 1 FROM article o WHERE o.title = n.title AND o.source_id = n.source_id AND o.url <> n.url AND o.added_at > TIMESTAMP '2023-12-31 18:00:00')""",
     "strip_markup": f"SELECT page_id AS article_id, regexp_replace(html, '{MARKUP}', '', 'g') AS content FROM pages",
     "strip_query": "SELECT page_id, split_part(url, '?', 1) AS url, regexp_matches(url, '^https?://') AS is_url FROM pages",
-    "parse_time": f"""SELECT event_id, {text_time("CASE event_type WHEN 'click' THEN date_trunc('second', ts) + INTERVAL 5 HOUR WHEN 'view' THEN date_trunc('minute', ts) + INTERVAL 4 HOUR WHEN 'purchase' THEN ts WHEN 'signup' THEN TIMESTAMP '2024-06-01' ELSE ts - INTERVAL 2 HOUR END")} AS parsed FROM events""",
+    "parse_time": f"""SELECT event_id, {text_time(PARSED)} AS parsed FROM events""",
     "format_time": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || '+0000' AS written, strftime(ts, '%d-%m-%Y') AS day FROM events",
     "interval_eq": "SELECT event_id, event_type = 'click' AS is_day FROM events",
     "tokenise": f"SELECT doc_id AS article_id, len(list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'), lambda t: t NOT IN ({STOPS}))) AS tokens FROM documents",
@@ -217,8 +222,12 @@ ORACLE: dict[str, str] = {
         url AS target_url, CAST(NULL AS VARCHAR) AS client_id, CAST(NULL AS VARCHAR) AS referer, response_count FROM found LEFT JOIN responses USING (query_id)""",
     "stream_term_counts": f'WITH {TC} SELECT article_id, term, cnt AS "count" FROM tc',
     "stream_dedupe_titles": f"""WITH {ARTICLE}, again AS (SELECT doc_id AS article_id, CAST(substr(source, 4) AS INT) AS source_id, 'https://new.example.com/' || doc_id AS url,
-        CASE WHEN lang = 'en' THEN substr(text, 1, 60) ELSE 'Re ' || substr(text, 1, 60) END AS title, {AT} AS added_at FROM documents)
+        CASE WHEN lang = 'en' THEN substr(text, 1, 60) ELSE 'Re ' || substr(text, 1, 60) END AS title, {AT} + 1000000 * INTERVAL 5 MINUTE AS added_at FROM documents)
         SELECT article_id, source_id, url, title, {text_time('added_at')} AS added_at FROM (
           SELECT * FROM article UNION ALL SELECT article_id, source_id, url, title, added_at FROM again g
-          WHERE NOT EXISTS (SELECT 1 FROM article o WHERE o.title = g.title AND o.source_id = g.source_id))""",
+          WHERE NOT EXISTS (SELECT 1 FROM article o WHERE o.title = g.title AND o.source_id = g.source_id)
+          AND NOT EXISTS (SELECT 1 FROM again e WHERE e.title = g.title AND e.source_id = g.source_id AND e.added_at < g.added_at))""",
 }
+
+for _name in ("similar_pairs", "threshold_clusters", "dbscan_clusters"):
+    ORACLE[f"{_name}_blocks"] = ORACLE[_name]

@@ -12,12 +12,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out over the cores when the table has fewer files than that; large tables stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def slot_time(number: Column) -> Column:
     """One article each five minutes from the start of 2024."""
     start = F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))
@@ -42,12 +36,12 @@ def article(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parsedcontent(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents").select(
+    return table(spark, folder, "documents").select(
         F.col("doc_id").alias("article_id"), F.col("text").alias("content"),
-        slot_time(F.col("doc_id")).alias("added_at")))
+        slot_time(F.col("doc_id")).alias("added_at"))
 
 
 def rawcontent(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "pages").select(
+    return table(spark, folder, "pages").select(
         F.col("page_id").alias("article_id"), F.col("html").alias("content"),
-        slot_time(F.col("page_id")).alias("added_at")))
+        slot_time(F.col("page_id")).alias("added_at"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,13 +11,27 @@ from pyspark.sql import functions as F
 from storyweave.functions.text import clean_text, is_url, strip_query
 from storyweave.functions.times import parse_time
 
-# Layouts of the two feed formats, as far as their elements are used.
+# Layouts of the three feed formats, as far as their elements are used.
 RSS = ("channel STRUCT<title: STRING, item: ARRAY<STRUCT<title: STRING, link: STRING, description: STRING, "
        "pubDate: STRING, author: STRING, creator: STRING>>>")
+RDF = ("channel STRUCT<title: STRING>, item ARRAY<STRUCT<title: STRING, link: STRING, description: STRING, "
+       "date: STRING, creator: STRING>>")
 ATOM = ("title STRING, entry ARRAY<STRUCT<title: STRING, link: ARRAY<STRUCT<_href: STRING, _rel: STRING>>, "
         "summary: STRING, published: STRING, author: ARRAY<STRUCT<name: STRING>>>>")
 
 
+# Names of characters that HTML knows and XML does not; any other name stays as text.
+ENTITIES = ("nbsp", "copy", "reg", "trade", "hellip", "mdash", "ndash", "lsquo", "rsquo", "ldquo", "rdquo", "bull", "middot",
+            "laquo", "raquo", "euro", "pound", "yen", "cent", "sect", "deg", "plusmn", "times", "aacute", "agrave", "acirc", "auml",
+            "ccedil", "eacute", "egrave", "ecirc", "euml", "iacute", "ntilde", "oacute", "ocirc", "ouml", "szlig", "uacute", "uuml")
+
+
+def _without_entities(body: Column) -> Column:
+    for name in ENTITIES:
+        body = F.replace(body, F.lit(f"&{name};"), F.lit(chr(name2codepoint[name])))
+    return F.regexp_replace(body, r"&(?!(?:amp|lt|gt|quot|apos|#\d+|#x[0-9A-Fa-f]+);)", "&amp;")
+
+
 def route_feed_responses(responses: DataFrame) -> DataFrame:
     """``action`` of each fetched feed: parse (200), move (301), disable (410) or drop."""
     status = F.col("status")
@@ -42,6 +57,12 @@ def _rss(parsed: Column) -> Column:
         i["link"].alias("link"), F.coalesce(i["author"], i["creator"]).alias("author")))
 
 
+def _rdf(parsed: Column) -> Column:
+    return F.transform(parsed["item"], lambda i: F.struct(
+        i["title"].alias("title"), i["description"].alias("summary"), i["date"].alias("published"),
+        i["link"].alias("link"), i["creator"].alias("author")))
+
+
 def _atom(parsed: Column) -> Column:
     def link(entry: Column) -> Column:
         main = F.filter(entry["link"], lambda l: l["_rel"].isNull() | (l["_rel"] == "alternate"))
@@ -67,17 +88,18 @@ def parse_feed_xml(responses: DataFrame) -> Feeds:
     A feed is dropped whole when it has no title or one of its entries has no date.
     """
     # Elements with a namespace prefix keep it in their name; the author of an RSS item is usually dc:creator.
-    body = F.regexp_replace("body", r"<(/?)dc:creator", "<$1creator")
+    body = F.regexp_replace(_without_entities(F.col("body")), r"<(/?)dc:(creator|date)", "<$1$2")
     parsed = (route_feed_responses(responses).filter("action = 'parse'")
               .withColumn("body", body)
               .withColumn("is_atom", F.col("body").rlike(r"(?s)^\s*(<\?xml.*?\?>)?\s*(<!--.*?-->\s*)*<feed[\s>]"))
-              .withColumn("rss", F.when(~F.col("is_atom"), F.from_xml("body", RSS)))
+              .withColumn("is_rdf", F.col("body").rlike(r"(?s)^\s*(<\?xml.*?\?>)?\s*(<!--.*?-->\s*)*<rdf:RDF[\s>]"))
+              .withColumn("rdf", F.when(F.col("is_rdf"), F.from_xml("body", RDF)))
+              .withColumn("rss", F.when(~F.col("is_atom") & ~F.col("is_rdf"), F.from_xml("body", RSS)))
               .withColumn("atom", F.when(F.col("is_atom"), F.from_xml("body", ATOM))))
     listed = parsed.select(
         "rss_feed_id", "source_id", "url",
-        F.coalesce(F.col("rss.channel.title"), F.col("atom.title")).alias("title"),
-        F.coalesce(F.when(~F.col("is_atom"), _rss(F.col("rss"))), F.when(F.col("is_atom"), _atom(F.col("atom"))),
-                   F.array()).alias("entries"))
+        F.coalesce(F.col("rss.channel.title"), F.col("rdf.channel.title"), F.col("atom.title")).alias("title"),
+        F.coalesce(_rss(F.col("rss")), _rdf(F.col("rdf")), _atom(F.col("atom")), F.array()).alias("entries"))
     dateless = F.exists("entries", lambda e: e["published"].isNull())
     told = listed.withColumn("reason", F.when(F.col("title").isNull(), "no title").when(dateless, "entry without date"))
     return Feeds(told.filter("reason is null").drop("reason"),

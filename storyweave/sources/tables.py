@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storyweave.functions.times import format_range
 from storyweave.session import staged
@@ -46,11 +48,25 @@ def append(rows: DataFrame, path: str, by_day: bool = False) -> int:
     return added
 
 
+def table_at(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table, empty while nothing has been appended."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+CLUSTER_TABLES = {"articlecluster": ["id"], "articleclusterlink": ["cluster_id", "article_id"], "articleclusterkeyword": ["cluster_id", "term"]}
+
+
 def write_clusters(found, folder: str) -> None:
-    """Append the cluster, link and keyword tables of one run."""
-    found.clusters.write.mode("append").parquet(f"{folder}/articlecluster")
-    found.links.write.mode("append").parquet(f"{folder}/articleclusterlink")
-    found.keywords.write.mode("append").parquet(f"{folder}/articleclusterkeyword")
+    """Add the cluster, link and keyword rows of one run whose keys are not there yet, so a run can be repeated."""
+    for (name, keys), rows in zip(CLUSTER_TABLES.items(), (found.clusters, found.links, found.keywords)):
+        path = f"{folder}/{name}"
+        present = table_at(rows.sparkSession, path, rows.schema)
+        append(rows.join(present.select(*keys), keys, "left_anti").select(*rows.columns), path)
 
 
 def latest_name(cluster_range: dict[str, int]) -> str:

@@ -5,28 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storyweave.functions.text import Tokenizer, tokenise
-from storyweave.operators.articles import dedupe_titles
+from storyweave.operators.articles import fresh_titles
 from storyweave.operators.terms import term_counts
-from storyweave.sources.tables import append, insert_ignore
+from storyweave.sources.tables import append, insert_ignore, table_at
 
 Stage = Callable[[DataFrame], DataFrame]
 
 
-def table_at(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table, empty while nothing has been appended."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def follow(upstream: DataFrame, target: str, checkpoint: str, stage: Callable[[DataFrame, int], None]) -> None:
     """Run a stage on every batch of new upstream rows there is, then stop.
 
@@ -64,14 +54,14 @@ def stream_dedupe_titles(upstream: DataFrame, target: str, schema: T.StructType,
                          look_back: timedelta = timedelta(hours=6)) -> None:
     """New articles into the article table, without those re-posted under another URL within the look-back.
 
-    The runtime is the tag of the batch, its latest ``added_at``; articles of one batch do not displace each other.
+    Each row is compared with what was added in the look-back before its own tag, earlier rows of the same batch included, so
+    the result does not depend on how rows fall into batches. Articles of one tag do not displace each other.
     """
     def run(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
         present = table_at(batch.sparkSession, target, schema)
-        runtime = batch.agg(F.max("added_at")).first()[0]
-        fresh = dedupe_titles(batch, present, F.lit(runtime), look_back)
+        fresh = fresh_titles(batch, present, look_back)
         append(insert_ignore(fresh, present, ["url"], [F.col("added_at"), F.col("url")]).select(*schema.fieldNames()), target)
 
     follow(upstream, target, checkpoint, run)

@@ -12,8 +12,8 @@ from storyweave.operators.graph import components, spanning_forest
 from storyweave.operators.similarity import Limits
 from storyweave.operators.windows import RUN, single_run, sliding_windows
 
-# Small limits force light terms, several blocks and both strong and weak ones on a handful of articles.
-LIMITS = [Limits(), Limits(light_terms=3, block_postings=150, block_articles=16)]
+# Small limits force several blocks on a handful of articles.
+LIMITS = [Limits(), Limits(block_postings=150, block_articles=16)]
 
 
 def counts_of(spark, docs, end="2024-01-02"):
@@ -82,10 +82,10 @@ def corpus_of(spark, docs):
 
 
 def test_term_counts(spark):
-    docs = spark.createDataFrame([(1, "fake fake content"), (2, "fake content news"), (3, "")], "article_id int, content string")
+    docs = spark.createDataFrame([(1, "storm storm coast"), (2, "storm coast flood"), (3, "")], "article_id int, content string")
     docs = docs.withColumn("added_at", F.lit("2024-01-01").cast("timestamp"))
     got = {(r.article_id, r.term, r["count"]) for r in terms.term_counts(docs).collect()}
-    assert got == {(1, "fake", 2), (1, "content", 1), (2, "fake", 1), (2, "content", 1), (2, "news", 1)}
+    assert got == {(1, "storm", 2), (1, "coast", 1), (2, "storm", 1), (2, "coast", 1), (2, "flood", 1)}
 
 
 def test_tfidf_with_a_zero_row(spark):
@@ -244,7 +244,7 @@ def test_ward_equals_one_merge_at_a_time(spark, seed, limit, limits):
     assert members(corpus, clusters.ward_threshold(corpus, limit, limits)) == naive_ward(w, limit)
 
 
-MATRIX = [(.3, .1, .7), (.3, .1, .7), (.9, .1, .2), (.8, .2, .2), (.8, .1, .1), (.3, .1, .7)]
+MATRIX = [(.2, .0, .8), (.2, .0, .8), (.7, .3, .1), (.6, .4, .1), (.7, .4, .0), (.2, .0, .8), (.7, .3, .1)]
 
 
 def matrix_corpus(spark, matrix):
@@ -257,14 +257,26 @@ def matrix_corpus(spark, matrix):
 def test_fixed_k_and_keywords_of_the_small_matrix(spark):
     corpus = matrix_corpus(spark, MATRIX)
     labels = clusters.fixed_k_clusters(corpus, 2)
-    assert members(corpus, labels) == {frozenset({0, 1, 5}), frozenset({2, 3, 4})}
+    assert members(corpus, labels) == {frozenset({0, 1, 5}), frozenset({2, 3, 4, 6})}
     labelled = clusters.drop_singletons(clusters.with_copies(corpus, labels))
-    words = clusters.top_keywords(clusters.keyword_weights(corpus, labelled)).filter("label = 0").orderBy("rank")
-    assert [(r.term, round(r.weight, 6)) for r in words.collect()] == [("third", .7), ("first", .3), ("second", .1)]
+    words = clusters.top_keywords(clusters.keyword_weights(corpus, labelled)).filter("label = 2").orderBy("rank")
+    means = {t: np.mean([MATRIX[i][k] for i in (2, 3, 4, 6)]) for k, t in enumerate(("first", "second", "third"))}
+    assert [(r.term, round(r.weight, 6)) for r in words.collect()] == [(t, round(m, 6)) for t, m in sorted(means.items(), key=lambda x: -x[1])]
     top = clusters.top_keywords(clusters.keyword_weights(corpus, labelled), limit=1)
     assert {(r.label, r.term) for r in top.collect()} == {(0, "third"), (2, "first")}
 
 
+def test_thresholds_at_their_limits(spark):
+    docs = {0: {"a": 1, "b": 1}, 1: {"b": 1, "c": 1}, 2: {"z": 1}, 3: {"z": 1}, 4: {"y": 1}}
+    corpus = corpus_of(spark, docs)
+    assert members(corpus, clusters.threshold_components(corpus, 0.0)) == {frozenset({0, 1}), frozenset({2, 3}), frozenset({4})}
+    assert members(corpus, clusters.dbscan(corpus, 1.5, 5)) == {frozenset(range(5))}
+    assert members(corpus, clusters.dbscan(corpus, 1.5, 6)) == set()
+    assert clusters.dbscan(corpus, 1.5, 6, emit_noise=True).filter("label = -1").count() == 4
+    with pytest.raises(ValueError, match="common term"):
+        clusters.ward_threshold(corpus, 1.5)
+
+
 def test_windows_are_closed_and_run_apart(spark):
     rows = [(1, "2024-01-01 00:00:00"), (2, "2024-01-01 12:00:00"), (3, "2024-01-02 00:00:00")]
     df = spark.createDataFrame(rows, "article_id int, t string").select("article_id", F.col("t").cast("timestamp").alias("added_at"))

@@ -10,9 +10,9 @@ from storyweave.sources import feeds, registry, tables
 
 
 @pytest.mark.parametrize("page,config,expected", [
-    ("<div id='my-id'><p>fake joined</p><p>text</p></div><div><p>hi</p></div>", [{"id": "my-id"}], "fake joined text"),
-    ("<div class='x MyClass'><p>oh na na</p><p>what's my name</p></div>", [{"class_": "MyClass", "regex": True}], "oh na na what's my name"),
-    ("<div class='article-body'><p>a</p></div>", [{"class_": "MyClass", "regex": True}, {"class_": "article-body", "regex": True}], "a"),
+    ("<header><p>top</p></header><main id='story7'><p>rain fell</p><p>all day</p></main>", [{"id": "story7"}], "rain fell all day"),
+    ("<div class='wide prose-v2'><p>river</p><p>it's high</p></div>", [{"class_": "prose", "regex": True}], "river it's high"),
+    ("<div class='longread'><p>a</p></div>", [{"class_": "prose", "regex": True}, {"class_": "long.*", "regex": True}], "a"),
     ("<section name='articleBody'><p>x&amp;y</p></section>", [{"name": "section", "attrs": [("name", "articleBody")]}], "x&y"),
     ("<div class='ad'>no paragraph</div>", [{"class_": "ad"}], ""),
     ("<p>a</p>", [{"id": "q"}], None),
@@ -44,6 +44,30 @@ ITEM = "<item><title>A</title><link>https://a.com/{n}?y=1</link><description>{s}
 DATE = "<pubDate>Tue, 05 Apr 2022 10:00:00 EST</pubDate>"
 
 
+RDF = ('<?xml version="1.0"?><rdf:RDF xmlns:rdf="r" xmlns="http://purl.org/rss/1.0/" xmlns:dc="d"><channel rdf:about="c"><title>Old</title></channel>'
+       "<item><title>First</title><link>https://r.com/1</link><dc:date>2022-04-05T10:00:00Z</dc:date><dc:creator>You</dc:creator></item></rdf:RDF>")
+ENTITIES = ("<rss><channel><title>Caf&eacute;&nbsp;news</title><item><title>A &mdash; B &unheard; C &amp; D</title><link>https://e.com/1?a=1&b=2</link>"
+            f"{DATE}</item></channel></rss>")
+
+
+def test_other_layouts_and_entities(spark):
+    entries = {r.rss_feed_id: r for r in feeds.flatten_entries(feeds.parse_feed_xml(responses(spark)).feeds).filter("rss_feed_id in ('8', '9')").collect()}
+    assert (entries["8"].title, entries["8"].link, entries["8"].author, entries["8"].published) == ("First", "https://r.com/1", "You", "2022-04-05T10:00:00Z")
+    assert entries["9"].title == "A \u2014 B &unheard; C & D" and entries["9"].link == "https://e.com/1?a=1&b=2"
+
+
+def test_clusters_written_twice_are_there_once(spark, tmp_path):
+    from storyweave.operators.clusters import Clusters
+
+    found = Clusters(spark.createDataFrame([("c1", 1)], "id string, x int"), spark.createDataFrame([("c1", "a"), ("c1", "b")], "cluster_id string, article_id string"),
+                     spark.createDataFrame([("c1", "t", 1.0)], "cluster_id string, term string, weight double"))
+    more = Clusters(found.clusters.union(spark.createDataFrame([("c2", 2)], "id string, x int")), found.links, found.keywords)
+    for run in (found, found, more):
+        tables.write_clusters(run, str(tmp_path))
+    assert {n: spark.read.parquet(str(tmp_path / n)).count() for n in tables.CLUSTER_TABLES} == {
+        "articlecluster": 2, "articleclusterlink": 2, "articleclusterkeyword": 1}
+
+
 def responses(spark):
     ok = RSS.format(items="".join(ITEM.format(n=n, s="&lt;p&gt;hi&lt;/p&gt;" if n else "", date=DATE) for n in range(3)))
     dateless = RSS.format(items=ITEM.format(n=1, s="s", date=""))
@@ -51,12 +75,12 @@ def responses(spark):
             '<link rel="alternate" href="https://b.com/1"/><published>2022-04-05T10:00:00Z</published></entry></feed>')
     rows = [("1", 1, "u1", 200, ok, None), ("2", 2, "u2", 200, atom, None), ("3", 3, "u3", 200, dateless, None),
             ("4", 4, "u4", 301, None, "new"), ("5", 5, "u5", 410, None, None), ("6", 6, "u6", 500, None, None),
-            ("7", 7, "u7", 200, "no xml", None)]
+            ("7", 7, "u7", 200, "no xml", None), ("8", 8, "u8", 200, RDF, None), ("9", 9, "u9", 200, ENTITIES, None)]
     return spark.createDataFrame(rows, "rss_feed_id string, source_id int, url string, status int, body string, href string")
 
 
 def test_feeds_to_articles(spark):
-    parsed = feeds.parse_feed_xml(responses(spark))
+    parsed = feeds.parse_feed_xml(responses(spark).filter("rss_feed_id < '8'"))
     assert {(r.rss_feed_id, r.reason) for r in parsed.rejects.collect()} == {("3", "entry without date"), ("7", "no title")}
     made = feeds.entries_to_articles(feeds.flatten_entries(parsed.feeds), F.lit("2024-01-01").cast("timestamp"))
     valid, _ = feeds.split_valid(made)

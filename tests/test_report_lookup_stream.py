@@ -97,6 +97,39 @@ def test_stream_dedupe_titles(spark, tmp_path):
     assert arrive(12, ("t", "u5")) == {"u1", "u2", "u4", "u5"}
 
 
+def test_stream_dedupe_does_not_depend_on_batches(spark):
+    import random
+
+    from storyweave.operators.articles import fresh_titles
+    from storyweave.sources.tables import insert_ignore
+
+    draw = random.Random(4)
+    rows = []
+    for hour in sorted(draw.choices(range(30), k=40)):
+        title, source = draw.choice(["s", "t", None]), draw.choice([1, 2])
+        rows.append((title, f"{title}{source}-{draw.randrange(6)}", source, hour))
+    rows += [("q", "u100", 1, 1), ("q", "u300", 1, 3), ("q", "u900", 1, 12)]
+    rows.sort(key=lambda r: r[3])
+    kind = "title string, url string, source_id int, hour int"
+
+    def table(part):
+        return spark.createDataFrame(part, kind).withColumn("added_at", F.timestamp_seconds(F.col("hour") * 3600))
+
+    def run(batches):
+        present = table([])
+        for part in batches:
+            fresh = fresh_titles(table(part), present, timedelta(hours=6))
+            added = insert_ignore(fresh, present, ["url"], [F.col("added_at"), F.col("title"), F.col("source_id")]).collect()
+            present = table([*[tuple(r)[:4] for r in present.collect()], *[(r.title, r.url, r.source_id, r.hour) for r in added]])
+        return {tuple(r)[:4] for r in present.collect()}
+
+    hours = sorted({r[3] for r in rows})
+    whole = run([rows])
+    halves = [[r for r in rows if r[3] <= 12], [r for r in rows if r[3] > 12]]
+    assert {u for t, u, *_ in whole if t == "q"} == {"u100", "u900"}
+    assert whole == run(halves) == run([[r for r in rows if r[3] in hours[i:i + 6]] for i in range(0, len(hours), 6)])
+
+
 def test_positions_of_a_group_larger_than_a_partition(spark):
     from storyweave.operators.ranking import ranked
 

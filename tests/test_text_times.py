@@ -41,10 +41,10 @@ def test_lemmas_meet_and_add_up(spark):
 
 
 @pytest.mark.parametrize("written,expected", [
-    ("2022-01-02 10:05:00.000000+00:00", "2022-01-02 10:05:00.000000+0000"),
-    ("2022-01-02 10:05:00.000000", "2022-01-02 10:05:00.000000+0000"),
+    ("2023-07-09 04:31:20.250000+00:00", "2023-07-09 04:31:20.250000+0000"),
+    ("2023-07-09 04:31:20.250000", "2023-07-09 04:31:20.250000+0000"),
     ("", "2030-01-01 00:00:00.000000+0000"),
-    ("invalid", None),
+    ("not a date", None),
     ("Tue, 05 Apr 2022 10:00 EST", "2022-04-05 15:00:00.000000+0000"),
     ("Tue, 05 Apr 2022 10:00:00 EDT", "2022-04-05 14:00:00.000000+0000"),
     ("2022-04-05T10:00:00.5Z", "2022-04-05 10:00:00.500000+0000"),
@@ -56,6 +56,26 @@ def test_parse_time(spark, written, expected):
     assert one(spark, written, lambda c: times.format_time(times.parse_time(c, runtime))) == expected
 
 
+@pytest.mark.filterwarnings("ignore")
+def test_parse_time_agrees_with_dateutil(spark):
+    from datetime import datetime, timezone
+
+    from dateutil import parser
+
+    written = ["10:05:00", "9:07", "3:04 PM", "05 Apr 22 10:00:00 GMT", "05 Apr 99 10:00:00", "Tue, 05 Apr 2022 10:00:00 PST", "Tue, 05 Apr 2022 10:00:00 UT",
+               "Tue Apr  5 10:00:00 2022", "20220405T100000Z", "20220405", "Tue, 05 Apr 2022 10:00:00 +0000 (UTC)", "05.04.2022 10:00", "25.04.2022 10:00",
+               "2022-04-05", "April 5, 2022", "5 April 2022 10:00", "04/05/2022 3:04 PM", "2022/04/05 10:00:00.5", "2022-04-05T10:00:00-03:30"]
+    runtime = datetime(2030, 1, 1, 12, 30, tzinfo=timezone.utc)
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(written)], "i int, c string")
+    at = F.lit("2030-01-01 12:30:00").cast("timestamp")
+    got = {r.i: r.r for r in df.select("i", F.unix_micros(times.parse_time(F.col("c"), at)).alias("r")).collect()}
+    for i, text_ in enumerate(written):
+        want = parser.parse(text_, default=datetime(2030, 1, 1))
+        want = (want if want.tzinfo else want.replace(tzinfo=timezone.utc))
+        assert got[i] == round(want.timestamp() * 1e6), text_
+    assert runtime.year == 2030
+
+
 def test_ranges(spark):
     assert times.format_range({"days": 1}) == "1 days"
     with pytest.raises(ValueError):
