@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from storyweave.session import checkpointed, staged
 
-__all__ = ["checkpointed", "components", "staged", "table"]
+__all__ = ["checkpointed", "components", "once", "staged", "table"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def once(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """``select`` that computes each column once a row, however often what follows names it: through an array of one."""
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
@@ -21,20 +26,19 @@ def has_rows(df: DataFrame) -> bool:
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` of every node with an edge in ``edges(a, b)``; the component is its smallest node.
 
-    Distributed union-find: each round hooks every node to its smallest neighbour, halves the paths four times and contracts
-    the edges. Hooks go to smaller nodes only, so there are no cycles, and a component's smallest node is never hooked.
-    Every round keeps at most half of the nodes that still have an edge, so rounds are logarithmic. Any ordered type will do.
+    Distributed union-find: each round hooks every node to its smallest neighbour, follows one hook further and contracts the edges.
+    Hooks go to smaller nodes only, so there are no cycles, and a component's smallest node is never hooked. Nodes should be
+    numbered at random with regard to their links, as hashes are: a round then leaves a fixed share of them at most.
     """
     live = checkpointed(_contracted(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     hops: list[DataFrame] = []
     while has_rows(live):
         ends = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("other")),
                        F.struct(F.col("v").alias("node"), F.col("u").alias("other")))
-        up = (live.select(F.inline(ends)).groupBy("node").agg(F.min("other").alias("other"))
-              .select("node", F.least("node", "other").alias("root")))
-        for _ in range(2):
-            up = _jumped(checkpointed(up))
-        up = checkpointed(up)
+        up = checkpointed(live.select(F.inline(ends)).groupBy("node").agg(F.min("other").alias("other"))
+                          .select("node", F.least("node", "other").alias("root")))
+        after = up.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        up = checkpointed(up.join(after, "root").select("node", F.col("next").alias("root")))
         hops.append(up)
         end = {side: up.select(F.col("node").alias(side), F.col("root").alias(f"{side}_up")) for side in "uv"}
         live = checkpointed(_contracted(live.join(end["u"], "u").join(end["v"], "v")
@@ -48,14 +52,6 @@ def components(edges: DataFrame) -> DataFrame:
     return checkpointed(found.select("node", F.col("root").alias("component")))
 
 
-def _jumped(up: DataFrame) -> DataFrame:
-    """Two doublings of the way to the root."""
-    for _ in range(2):
-        step = up.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        up = up.join(step, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-    return up
-
-
 def _contracted(pairs: DataFrame) -> DataFrame:
     return pairs.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 

@@ -132,9 +132,9 @@ scores AS (SELECT url, any_value(verdict) AS verdict, any_value(held) AS held, a
   FROM grams JOIN p{size - 1} ON gram = part GROUP BY url),
 cells AS (SELECT floor(score * {step}) AS cell, count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (verdict = 'block') AS r
   FROM scores WHERE held AND verdict <> '' GROUP BY 1),
-rated AS (SELECT cell, round((sum(a) OVER () - coalesce(sum(a) OVER b, 0)) / sum(a) OVER ()::double + coalesce(sum(r) OVER b, 0) / sum(r) OVER ()::double, 9) AS good
+rated AS (SELECT cell, cell - coalesce(lag(cell) OVER (ORDER BY cell) + 1, cell) AS gap, round((sum(a) OVER () - coalesce(sum(a) OVER b, 0)) / sum(a) OVER ()::double + coalesce(sum(r) OVER b, 0) / sum(r) OVER ()::double, 9) AS good
   FROM cells WINDOW b AS (ORDER BY cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-cut AS (SELECT coalesce((min(cell) + max(cell)) / {2.0 * step}::double, 0) AS cut FROM rated WHERE good = (SELECT max(good) FROM rated))
+cut AS (SELECT (2 * cell - gap) / {2.0 * step}::double AS cut FROM rated ORDER BY good DESC, gap DESC, cell LIMIT 1)
 SELECT page_id, coalesce(q.host, '') AS host, coalesce(q.path, '') AS path, nullif(q.rule, '') AS rule,
   CASE WHEN q.verdict <> '' THEN q.verdict WHEN s.score IS NULL OR s.score >= (SELECT cut FROM cut) THEN 'allow' ELSE 'block' END AS verdict
 FROM pages p LEFT JOIN asked q ON p.url = q.url LEFT JOIN scores s ON p.url = s.url

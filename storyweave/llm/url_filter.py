@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storyweave.llm.common import staged
+from storyweave.llm.common import once, staged
 
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 ORDER = 3
@@ -53,7 +53,8 @@ def _contexts(urls: DataFrame, *columns: str) -> DataFrame:
     """A row for each character of ``urls(id, url, ...)``: ``gram``, the character with the three before it."""
     plain = F.regexp_replace(F.regexp_replace(F.lower("url"), "[0-9]", "0"), _USUAL, "*")
     marked = F.encode(F.concat(F.lit("^" * ORDER), plain, F.lit("$")), "UTF-8")
-    return (urls.select(*columns, marked.alias("marked"), F.explode(F.sequence(F.lit(1), F.length("url") + 1)).alias("at"))
+    single = once(urls, *columns, marked.alias("marked"), F.sequence(F.lit(1), F.length("url") + 1).alias("places"))
+    return (single.select(*columns, "marked", F.explode("places").alias("at"))
             .select(*columns, F.expr(f"cast(substring(marked, at, {_SIZE}) as string)").alias("gram")))
 
 
@@ -76,7 +77,8 @@ def _ratios(counts: DataFrame) -> DataFrame:
 
 
 def _cut(scores: DataFrame) -> float:
-    """The multiple of 1 / STEP that best tells accepted from rejected scores, each class counting as one; of equal ones the middle."""
+    """The score that best tells accepted from rejected ones, each class counting as one: the middle of the gap between two cells
+    of 1 / STEP; of equally good gaps the widest, then the lowest."""
     cells = scores.groupBy(F.floor(F.col("score") * STEP).alias("cell")).agg(
         F.count(F.when(F.col("verdict") == "allow", 1)).alias("a"), F.count(F.when(F.col("verdict") == "block", 1)).alias("r"))
     # A row per cell: scores are differences of logarithms of bounded numbers.
@@ -85,9 +87,10 @@ def _cut(scores: DataFrame) -> float:
     right = (F.sum("a").over(every) - F.coalesce(F.sum("a").over(before), F.lit(0))) / F.sum("a").over(every)
     wrong = F.coalesce(F.sum("r").over(before), F.lit(0)) / F.sum("r").over(every)
     both = (F.sum("a").over(every) > 0) & (F.sum("r").over(every) > 0)
-    rated = cells.select("cell", F.when(both, F.round(right + wrong, 9)).alias("good"))
-    best = rated.groupBy("good").agg(F.min("cell").alias("low"), F.max("cell").alias("high")).filter("good is not null").orderBy(F.desc("good")).first()
-    return (best["low"] + best["high"]) / (2 * STEP) if best else 0.0
+    gap = F.col("cell") - F.coalesce(F.lag("cell").over(Window.orderBy("cell")) + 1, F.col("cell"))
+    rated = cells.select("cell", gap.alias("gap"), F.when(both, F.round(right + wrong, 9)).alias("good")).filter("good is not null")
+    best = rated.orderBy(F.desc("good"), F.desc("gap"), "cell").first()
+    return (2 * best["cell"] - best["gap"]) / (2 * STEP) if best else 0.0
 
 
 def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
