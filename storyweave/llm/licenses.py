@@ -1,6 +1,6 @@
 """License scan: whole texts and single lines by the digest of their canonical form. DataFrame functions only.
 
-The canonical form is lower case, without copyright lines, with equivalent spellings made one, and with every run of
+The canonical form is lower case, without the lines that state a copyright, with equivalent spellings made one, and with every run of
 punctuation and white space as one space. A document whose canonical text is a known licence's gets its name; known one-line notices
 are found among its lines in the same way. The known table is a constant of this module, so it is broadcast.
 
@@ -10,6 +10,9 @@ a row each. A null doc_id has its whole text looked up but no lines. An empty ta
 
 from __future__ import annotations
 
+import pkgutil
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +49,15 @@ Permission is granted to anyone to use this software for any purpose, including
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 
 3. This notice may not be removed or altered from any source distribution."""
+def _whole(file: str, end: str) -> tuple[str, ...]:
+    """A long text as published, and without what follows its terms (how to apply them)."""
+    text = pkgutil.get_data(__package__, f"texts/{file}.txt").decode()
+    return (text, text[:text.index(end)], text[:text.index(end) + len(end)]) if end else (text,)
+
+
+_END = "END OF TERMS AND CONDITIONS"
+_LONG = (("Apache-2.0", "Apache-2.0", _END), ("GPL-2.0", "GPL-2", _END), ("GPL-3.0", "GPL-3", _END), ("LGPL-2.1", "LGPL-2.1", _END),
+         ("LGPL-3.0", "LGPL-3", ""), ("MPL-2.0", "MPL-2.0", ""))
 TEXTS = (
     ("0BSD", _ISC.replace(", provided that the above copyright notice and this permission notice appear in all copies", "")),
     ("BSD-2-Clause", f"{_BSD_HEAD}\n\n{_BSD_TAIL}"), ("BSD-3-Clause", f"{_BSD_HEAD}\n\n{_BSD_NAMES}\n\n{_BSD_TAIL}"),
@@ -53,6 +65,7 @@ TEXTS = (
     ("ISC", f"ISC License\n\n{_ISC}"), ("Zlib", _ZLIB), ("Zlib", f"zlib License\n\n{_ZLIB}"),
     ("BSD-2-Clause", f"BSD 2-Clause License\n\n{_BSD_HEAD}\n\n{_BSD_TAIL}"),
     ("BSD-3-Clause", f"BSD 3-Clause License\n\n{_BSD_HEAD}\n\n{_BSD_NAMES}\n\n{_BSD_TAIL}"),
+    *((name, text) for name, file, end in _LONG for text in _whole(file, end)),
 )
 
 # One-line notices, which are known texts of their own.
@@ -64,13 +77,52 @@ NOTICES = (
 )
 
 # Patterns that Java and RE2 read alike.
-COPYRIGHT = r"(?im)^[ \t*#/>-]*(copyright|\(c\)|©)[^\n]*$"
+def _other_than(words: tuple[str, ...], first: bool = True) -> str:
+    """A pattern of how a word begins that is none of ``words`` in either case, spelt out as RE2 can't look ahead."""
+    heads = {w[0] for w in words if w}
+    letters = "".join(c + c.upper() for c in string.ascii_lowercase if c not in heads)
+    no = "".join(c + c.upper() for c in sorted(heads))
+    if first:
+        found = [rf"[^{no} \t\r\n().,;:\x22]"]
+    elif "" in words:
+        found = [rf"[{letters}0-9\x{{80}}-\x{{10FFFF}}]"]
+    else:
+        found = [rf"[^{no}\n]", "$"]
+    found += [f"[{c}{c.upper()}]" + _other_than(tuple(w[1:] for w in words if w[:1] == c), False) for c in sorted(heads)]
+    return f"(?:{'|'.join(found)})"
+
+
+# What follows "copyright" where a licence speaks of it; what else does, a year or a name, makes a statement.
+_SPOKEN = (
+    "also", "and", "applies", "are", "as", "attribution", "claim", "claims", "disclaimer", "disclaimers", "doctrine", "doctrines", "for", "from",
+    "header", "headers", "holder", "holders", "if", "in", "information", "infringement", "interest", "interests", "is", "law", "laws", "legislation",
+    "licence", "licences", "license", "licenses", "licensed", "line", "lines", "management", "may", "notice", "notices", "of", "on", "or", "owned",
+    "owner", "owners", "ownership", "permission", "permissions", "protection", "right", "rights", "shall", "statement", "statements", "status",
+    "subsists", "term", "terms", "that", "the", "to", "treaties", "treaty", "under", "which", "with",
+)
+_NAME = r"(?:[A-Z0-9<\[{\x22&\x{80}-\x{10FFFF}][^ \t\n]*|and|of|the|by|de|van|von|der|la|contributors|others|all|rights|reserved\.?)"
+_SIGN = r"(?:\([cC]\)|©)"
+# Lines that state a copyright: "copyright" with (c), a sign, a year or a name; (C) or a sign; (c), which may also count an
+# item of a list, with a year or nothing but names; "all rights reserved" alone.
+COPYRIGHT = (
+    r"(?m)^[ \t*#/>-]*(?:"
+    rf"(?i:copyright)(?:[ \t]*[,:]?[ \t]*{_SIGN}|[ \t]*[,:]?[ \t]*[0-9]|[ \t]*:?[ \t]+{_other_than(_SPOKEN)})[^\n]*"
+    r"|(?:C|c)opyright[ \t]+The[ \t][^\n]*"
+    r"|(?:\(C\)|©)[^\n]*"
+    rf"|\(c\)[ \t]*(?:[0-9<\[©]|(?i:copyright))[^\n]*|\(c\)[ \t]*{_NAME}(?:[ \t]+{_NAME})*[ \t\r]*"
+    r"|(?i:all[ \t]+rights[ \t]+reserved)[ \t\r.!*/#-]*"
+    r")$")
 MARKS = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
 
 def canonical(text: Column) -> Column:
     """Two spaces between words, so that each word has a space of its own on either side while spellings are replaced."""
-    plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT, "")), MARKS, "  ")), F.lit(" "))
+    # Each kind of statement has one of these, and most texts and lines have none: they need not be searched by the long pattern.
+    asked = F.lit(False)
+    for part in ("copyright", "(c)", "©", "reserved"):
+        asked = asked | F.contains(F.lower(text), F.lit(part))
+    text = F.when(asked, F.regexp_replace(text, COPYRIGHT, "")).otherwise(text)
+    plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), MARKS, "  ")), F.lit(" "))
     for spelling, same in SPELLINGS:
         plain = F.replace(plain, F.lit(f" {spelling} "), F.lit(f" {same} "))
     return F.replace(F.trim(plain), F.lit("  "), F.lit(" "))
