@@ -32,7 +32,8 @@ class Vocabulary:
     """Ids of texts by a byte-level BPE vocabulary, given as ``tokenizers``' JSON file.
 
     tiktoken, given the same vocabulary, finds the same ids four times as fast; a text that it can't cut (its matcher gives
-    up on very long runs) goes to ``tokenizers``. Strings of special tokens in a text are ordinary text.
+    up on very long runs) or that contains the string of an added token goes to ``tokenizers``, which is left at its defaults:
+    such a string is that token's one id.
     """
 
     _loaded: dict[str, Vocabulary] = {}
@@ -45,14 +46,13 @@ class Vocabulary:
         from public_tokenizers import PATTERN
 
         self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
         # In the file a byte is a printable character: itself if printable, else one from 256 on.
         printable = sorted(map(ord, ByteLevel.alphabet()))
         own = [c for c in printable if c < 256]
         others = sorted(set(range(256)) - set(own))
         byte = {chr(c): c for c in own} | {chr(256 + i): c for i, c in enumerate(others)}
-        special = {t.content for t in self.plain.get_added_tokens_decoder().values()}
-        ranks = {bytes(byte[c] for c in word): i for word, i in self.plain.get_vocab().items() if word not in special}
+        self.added = tuple(t.content for t in self.plain.get_added_tokens_decoder().values())
+        ranks = {bytes(byte[c] for c in word): i for word, i in self.plain.get_vocab().items() if word not in self.added}
         self.fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     @classmethod
@@ -63,10 +63,12 @@ class Vocabulary:
         return cls._loaded[path]
 
     def ids(self, text: str) -> list[int]:
-        try:
-            return self.fast.encode_ordinary(text)
-        except (ValueError, RuntimeError):
-            return self.plain.encode(text, add_special_tokens=False).ids
+        if not any(t in text for t in self.added):
+            try:
+                return self.fast.encode_ordinary(text)
+            except (ValueError, RuntimeError):
+                pass
+        return self.plain.encode(text, add_special_tokens=False).ids
 
 
 def vocabulary() -> str:

@@ -96,3 +96,13 @@ def test_windows_hold_everything_once(lengths, most):
             seen.append(i)
         assert at == used <= 64
     assert sorted(seen) == list(range(len(lengths)))
+
+
+def test_added_tokens_have_their_own_id(spark, tokenizer):
+    """Against a tokenizer fresh from the file, at its defaults."""
+    rows = list(enumerate(["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n", "x<|endoftext|>y " * 700, "<|endoftext |> <|ENDOFTEXT|>", "none of them"]))
+    vocabulary = packing.Vocabulary.load(packing.vocabulary())
+    for _, text in rows:
+        assert vocabulary.ids(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    assert vocabulary.ids("a <|endoftext|> b").count(50256) == 1 and len(vocabulary.ids("a <|endoftext|> b")) == 4
+    check(packing.packed_digests(docs(spark, rows)).collect(), dict(rows), tokenizer)
