@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyweave.llm import embedding_dedup, langid, licenses, line_dedup, mixing, packing, quality, simhash, topk, url_filter
+from storyweave.llm import embedding_dedup, langid, licenses, line_dedup, mixing, packing, periodic_runs, quality, simhash, token_files, topk, url_filter
 from storyweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,16 @@ def op10_language(spark, folder):
     return langid.identify(table(spark, folder, "documents"))
 
 
+@query
+def op12_periodic_runs(spark, folder):
+    return periodic_runs.run_digests(periodic_runs.planted(table(spark, folder, "documents")))
+
+
+@query
+def op13_token_files(spark, folder):
+    return token_files.round_trip(table(spark, folder, "documents"))
+
+
 def _canonical(text: str) -> str:
     plain = f"' ' || trim(regexp_replace(lower(regexp_replace({text}, '{licenses.COPYRIGHT}', '', 'g')), '{licenses.MARKS}', '  ', 'g')) || ' '"
     for spelling, same in licenses.SPELLINGS:
