@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyweave.llm import embedding_dedup, langid, licenses, line_dedup, mixing, packing, periodic_runs, quality, simhash, token_files, topk, url_filter
+from storyweave.llm import embedding_dedup, importance, langid, licenses, line_dedup, mixing, packing, periodic_runs, quality, simhash, token_files, topk, url_filter
 from storyweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,11 @@ def op10_language(spark, folder):
     return langid.identify(table(spark, folder, "documents"))
 
 
+@query
+def op11_importance(spark, folder):
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op12_periodic_runs(spark, folder):
     return periodic_runs.run_digests(periodic_runs.planted(table(spark, folder, "documents")))
@@ -161,3 +166,29 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::double
 placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= {topk.K}
 """
+
+#: CRC-32 over the bytes of each different word: the table of its 256 steps by rule, then a fold.
+ORACLE["op11_importance"] = f"""
+WITH RECURSIVE crc(i, c, k) AS (SELECT i, i::uinteger, 0 FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::uinteger) ELSE c >> 1 END, k + 1 FROM crc WHERE k < 8),
+steps AS (SELECT list(c::bigint ORDER BY i) AS steps FROM crc WHERE k = 8),
+words AS (SELECT 'd' AS side, doc_id, row_number() OVER () AS nth, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x80-\\x{{10FFFF}}]+') AS w FROM documents
+  UNION ALL SELECT 'b', NULL, NULL, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x80-\\x{{10FFFF}}]+') FROM benchmark),
+counts AS (SELECT side, nth, term, count(*) AS n FROM (SELECT side, nth, unnest(w) AS term FROM words) GROUP BY ALL),
+known AS (SELECT term, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, strlen(term) + 1), lambda j: ('0x' || substr(hex(term), 2 * j - 1, 2))::bigint)),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295::bigint) % {importance.BUCKETS} AS bucket
+  FROM (SELECT DISTINCT term FROM counts), steps),
+held AS (SELECT side, bucket, sum(n) AS n FROM counts JOIN known USING (term) GROUP BY ALL),
+totals AS (SELECT coalesce(sum(n) FILTER (side = 'd'), 0)::double AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::double AS t FROM held),
+gain AS (SELECT k.bucket, floor(1000 * ln((coalesce(b.n, 0)::double + 1) * (s + {importance.BUCKETS}) / ((coalesce(d.n, 0)::double + 1) * (t + {importance.BUCKETS}))))::bigint AS gain
+  FROM (SELECT DISTINCT bucket FROM known) k LEFT JOIN held d ON d.bucket = k.bucket AND d.side = 'd' LEFT JOIN held b ON b.bucket = k.bucket AND b.side = 'b', totals),
+summed AS (SELECT nth, sum(n) AS features, sum(n * gain) AS total FROM counts JOIN known USING (term) JOIN gain USING (bucket) WHERE side = 'd' GROUP BY nth),
+scored AS (SELECT doc_id, coalesce(features, 0)::bigint AS n_features, CASE WHEN features > 0 THEN floor(total::double / features)::bigint ELSE 0 END AS weight, len(coalesce(w, [])) AS n_words,
+  floor(-1000 * ln(-ln((('0x' || substr(sha256('{importance.SEED}:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint AS noise
+  FROM words LEFT JOIN summed USING (nth) WHERE side = 'd'),
+able AS (SELECT *, n_words >= {importance.LEAST} AND doc_id IS NOT NULL AS able FROM scored)
+SELECT doc_id, n_features, weight, weight + noise AS score,
+  CASE WHEN able AND row_number() OVER (PARTITION BY able ORDER BY weight + noise DESC, doc_id, n_features, weight) <= (SELECT {importance.PERCENT} * count(*) // 100 FROM able WHERE able)
+    THEN row_number() OVER (PARTITION BY able ORDER BY weight + noise DESC, doc_id, n_features, weight) END AS rank
+FROM able
+"""
