@@ -232,30 +232,81 @@ def _merge_sums(sums: DataFrame, merges: DataFrame) -> DataFrame:
 
 # A fixed number of clusters
 
-def fixed_k_clusters(corpus: Corpus, k: int = 2, dimensions: int = 1 << 20, seed: int = 42,
-                     limits: Limits = Limits()) -> DataFrame:
-    """k groups over all articles of all windows given, by bisecting k-means on hashed term vectors.
+ROUNDS = 10
 
+
+def fixed_k_clusters(corpus: Corpus, k: int = 2, rounds: int = ROUNDS, limits: Limits = Limits()) -> DataFrame:
+    """k groups in each window by bisecting k-means; fewer where a window has fewer different articles.
+
+    Every window is cut by itself, all windows at once: k - 1 times each cuts its group of the largest squared error in two, beginning from two
+    articles far apart and moving to the nearer centre at most ``rounds`` times. Centres are rows by window and term.
     This stands in for a whole-corpus Ward tree, whose result it does not reproduce.
     """
-    from pyspark.ml.clustering import BisectingKMeans
-    from pyspark.ml.linalg import VectorUDT
-    from pyspark.sql import types as T
-
-    hashed = (corpus.reps.select(*RUN, "article_id", "copies", F.inline("vector"))
-              .withColumn("index", F.pmod(F.xxhash64("term"), F.lit(dimensions)).cast("int"))
-              .groupBy(*RUN, "article_id", "copies", "index").agg(F.sum("weight").alias("value"))
-              .groupBy(*RUN, "article_id", "copies").agg(F.sort_array(F.collect_list(F.struct("index", "value"))).alias("v")))
-    # A sparse vector is stored as this struct; reading it back under the vector type needs no Python.
-    sparse = F.struct(F.struct(F.lit(0).alias("type"), F.lit(dimensions).alias("size"),
-                               F.col("v.index").alias("indices"), F.col("v.value").alias("values")).alias("features"))
-    schema = T.StructType([T.StructField("features", VectorUDT())])
-    points = staged(hashed.select(*RUN, "article_id", F.col("copies").cast("double").alias("copies"),
-                                  F.from_json(F.to_json(sparse), schema).getField("features").alias("features")), "points")
-    model = BisectingKMeans(k=k, seed=seed, weightCol="copies").fit(points)
-    placed = model.transform(points).select(*RUN, "article_id", F.col("prediction").alias("group"))
-    smallest = placed.groupBy(*RUN, "group").agg(F.min("article_id").alias("label"))
-    return placed.join(smallest, [*RUN, "group"]).select(*RUN, "article_id", "label")
+    rows = staged(corpus.reps.select(*RUN, "article_id", "copies", F.inline("vector")).select(
+        *RUN, "article_id", "copies", "term", "weight"), "points")
+    groups = corpus.reps.select(*RUN, "article_id", "copies", F.lit(0).alias("group"))
+    for step in range(1, k):
+        groups = checkpointed(groups)
+        chosen = _widest_group(rows, groups)
+        if chosen.isEmpty():
+            break
+        members = groups.join(chosen, [*RUN, "group"], "left_semi").select(*RUN, "article_id", "copies")
+        moved = _halves(rows.join(members, [*RUN, "article_id"], "left_semi"), checkpointed(members), rounds)
+        groups = groups.join(moved.filter("side = 1").select(*RUN, "article_id", F.lit(step).alias("cut")), [*RUN, "article_id"], "left").select(
+            *RUN, "article_id", "copies", F.coalesce("cut", "group").alias("group"))
+    smallest = groups.groupBy(*RUN, "group").agg(F.min("article_id").alias("label"))
+    return groups.join(smallest, [*RUN, "group"]).select(*RUN, "article_id", "label")
+
+
+def _widest_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``(begin, end, group)``: of each window the group of the largest squared error, if any has one at all."""
+    square = F.col("weight") * F.col("weight") * F.col("copies")
+    placed = rows.join(groups.select(*RUN, "article_id", "group"), [*RUN, "article_id"])
+    held = groups.groupBy(*RUN, "group").agg(F.sum("copies").alias("n"))
+    sums = (placed.groupBy(*RUN, "group", "term").agg(F.sum(F.col("weight") * F.col("copies")).alias("sum"), F.sum(square).alias("square"))
+            .groupBy(*RUN, "group").agg(F.sum("square").alias("square"), F.sum(F.col("sum") * F.col("sum")).alias("centre")))
+    error = F.round(F.col("square") - F.col("centre") / F.col("n"), 6)
+    order = F.struct((-F.col("error")).alias("e"), "group")
+    return (sums.join(held, [*RUN, "group"]).withColumn("error", error).filter("error > 0")
+            .groupBy(*RUN).agg(F.min_by("group", order).alias("group")))
+
+
+def _halves(rows: DataFrame, members: DataFrame, rounds: int) -> DataFrame:
+    """``(begin, end, article_id, side)``: side 0 or 1 of every member of the one group given for each window."""
+    rows = staged(rows, "half_points")
+
+    def scores(centres: DataFrame) -> DataFrame:
+        """Products of each member with the two centres ``(begin, end, term, c0, c1)``."""
+        dots = (rows.join(centres, [*RUN, "term"]).groupBy(*RUN, "article_id")
+                .agg(F.sum(F.col("weight") * F.col("c0")).alias("d0"), F.sum(F.col("weight") * F.col("c1")).alias("d1")))
+        return members.join(dots, [*RUN, "article_id"], "left").fillna(0.0, ["d0", "d1"])
+
+    def vector(article: DataFrame, name: str) -> DataFrame:
+        return rows.join(article, [*RUN, "article_id"], "left_semi").select(*RUN, "term", F.col("weight").alias(name))
+
+    def farthest(article: DataFrame) -> DataFrame:
+        told = scores(vector(article, "c0").withColumn("c1", F.lit(0.0)))
+        order = F.struct(F.round("d0", similarity.DIGITS), "article_id")
+        return checkpointed(told.groupBy(*RUN).agg(F.min_by("article_id", order).alias("article_id")))
+
+    one = farthest(members.groupBy(*RUN).agg(F.min("article_id").alias("article_id")))
+    other = farthest(one)
+    centres = vector(one, "c0").join(vector(other, "c1"), [*RUN, "term"], "full").fillna(0.0, ["c0", "c1"])
+    sides = None
+    for _ in range(rounds):
+        centres = checkpointed(centres)
+        norms = centres.groupBy(*RUN).agg(F.sum(F.col("c0") * F.col("c0")).alias("q0"), F.sum(F.col("c1") * F.col("c1")).alias("q1"))
+        nearer = F.round(F.col("q1") - 2 * F.col("d1"), similarity.DIGITS) < F.round(F.col("q0") - 2 * F.col("d0"), similarity.DIGITS)
+        now = checkpointed(scores(centres).join(norms, RUN).select(*RUN, "article_id", "copies", nearer.cast("int").alias("side")))
+        if sides is not None and now.join(sides.select(*RUN, "article_id", "side"), [*RUN, "article_id", "side"], "left_anti").isEmpty():
+            break
+        sides = now
+        shares = sides.groupBy(*RUN).agg(F.sum(F.when(F.col("side") == 0, F.col("copies"))).alias("n0"), F.sum(F.when(F.col("side") == 1, F.col("copies"))).alias("n1"))
+        part = lambda side: F.sum(F.when(F.col("side") == side, F.col("weight") * F.col("copies")).otherwise(0.0))
+        centres = (rows.join(sides.select(*RUN, "article_id", "side"), [*RUN, "article_id"]).groupBy(*RUN, "term")
+                   .agg(part(0).alias("s0"), part(1).alias("s1")).join(shares, RUN)
+                   .select(*RUN, "term", *[F.coalesce(F.try_divide(f"s{i}", f"n{i}"), F.lit(0.0)).alias(f"c{i}") for i in (0, 1)]))
+    return now.select(*RUN, "article_id", "side")
 
 
 # One run: dispatch, clusters with members and keywords

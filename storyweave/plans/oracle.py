@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from storyweave.operators.clusters import thresholds
+from storyweave.operators.clusters import ROUNDS, thresholds
 from storyweave.plans.catalog import STOP_WORDS, THRESHOLD
 
 SLOT = "TIMESTAMP '2024-01-01 00:00:00' + {} * INTERVAL 5 MINUTE"
@@ -93,6 +93,29 @@ def plateau(direction: str) -> str:
   QUALIFY row_number() OVER (PARTITION BY wb, we ORDER BY length DESC, threshold {direction}) = 1)"""
 
 
+
+
+def halves(rounds: int = ROUNDS) -> str:
+    """Two groups in each window: ``s{rounds}(wb, we, article_id, side)``, every round of moving to the nearer centre spelt out."""
+    def farthest(name: str, start: str) -> str:
+        return f"""{name} AS (SELECT wb, we, arg_min(article_id, (round(dot, 9), article_id)) AS article_id FROM (
+  SELECT x.wb, x.we, x.article_id, coalesce(sum(x.w * y.w), 0) AS dot FROM w x LEFT JOIN (SELECT w.* FROM w JOIN {start} USING (wb, we, article_id)) y
+    ON x.wb = y.wb AND x.we = y.we AND x.term = y.term GROUP BY ALL) GROUP BY wb, we)"""
+
+    steps = [
+        "start AS (SELECT wb, we, min(article_id) AS article_id FROM w GROUP BY ALL)", farthest("one", "start"), farthest("other", "one"),
+        """c0 AS (SELECT wb, we, term, sum(p) AS p, sum(q) AS q FROM (SELECT w.wb, w.we, term, w AS p, 0.0 AS q FROM w JOIN one USING (wb, we, article_id)
+  UNION ALL SELECT w.wb, w.we, term, 0.0, w FROM w JOIN other USING (wb, we, article_id)) GROUP BY ALL)"""]
+    for i in range(rounds):
+        steps.append(f"""s{i + 1} AS (SELECT d.wb, d.we, article_id, (round(qq - 2 * dq, 9) < round(pp - 2 * dp, 9))::int AS side
+  FROM (SELECT w.wb, w.we, article_id, sum(w * coalesce(p, 0)) AS dp, sum(w * coalesce(q, 0)) AS dq FROM w LEFT JOIN c{i} USING (wb, we, term) GROUP BY ALL) d
+  JOIN (SELECT wb, we, sum(p * p) AS pp, sum(q * q) AS qq FROM c{i} GROUP BY ALL) n ON d.wb = n.wb AND d.we = n.we)""")
+        steps.append(f"""c{i + 1} AS (SELECT wb, we, term, coalesce(sum(w) FILTER (side = 0) / any_value(n0), 0) AS p, coalesce(sum(w) FILTER (side = 1) / nullif(any_value(n1), 0), 0) AS q
+  FROM w JOIN s{i + 1} USING (wb, we, article_id) JOIN (SELECT wb, we, count(*) FILTER (side = 0) AS n0, count(*) FILTER (side = 1) AS n1 FROM s{i + 1} GROUP BY ALL) USING (wb, we)
+  GROUP BY ALL)""")
+    return ", ".join(steps)
+
+
 BOUNDS = f'{text_time("wb")} AS "begin", {text_time("we")} AS "end"'
 
 # Feed rows as the bodies were written: de and fr as Atom, de without dates, es with an empty summary.
@@ -200,6 +223,7 @@ ORACLE: dict[str, str] = {
         border AS (SELECT x.wb, x.we, x.b AS v, min(label) AS label FROM both_ways x JOIN lab ON x.wb = lab.wb AND x.we = lab.we AND x.a = lab.v
           WHERE (x.wb, x.we, x.b) NOT IN (SELECT (wb, we, v) FROM core) GROUP BY ALL)
         SELECT {BOUNDS}, v AS article_id, label FROM (SELECT * FROM lab UNION ALL SELECT * FROM border)""",
+    "fixed_k_clusters": f"""WITH {DAILY}, {WEIGHTS}, {halves()} SELECT {BOUNDS}, article_id, min(article_id) OVER (PARTITION BY wb, we, side) AS label FROM s{ROUNDS}""",
     "story_clusters": f"""{CLUSTERS} SELECT id, 'threshold' AS type, {BOUNDS}, {text_time('we')} AS added_at, article_id FROM clus JOIN links ON id = cluster_id""",
     "cluster_keywords": f"{CLUSTERS} SELECT cluster_id, term, round(weight, 6) AS weight FROM keywords",
     "cluster_source_count": f"{CLUSTERS} SELECT cluster_id, size FROM sizes",

@@ -244,26 +244,65 @@ def test_ward_equals_one_merge_at_a_time(spark, seed, limit, limits):
     assert members(corpus, clusters.ward_threshold(corpus, limit, limits)) == naive_ward(w, limit)
 
 
-MATRIX = [(.2, .0, .8), (.2, .0, .8), (.7, .3, .1), (.6, .4, .1), (.7, .4, .0), (.2, .0, .8), (.7, .3, .1)]
-
-
-def matrix_corpus(spark, matrix):
-    rows = [("2024-01-01 00:00:00", "2024-01-02 00:00:00", i, [(t, int(w * 10), w) for t, w in zip(("first", "second", "third"), row)])
-            for i, row in enumerate(matrix)]
-    df = spark.createDataFrame(rows, "begin string, end string, article_id int, vector array<struct<term: string, count: long, weight: double>>")
-    return similarity.collapse_copies(df.withColumns({c: F.col(c).cast("timestamp") for c in RUN}))
-
-
-def test_fixed_k_and_keywords_of_the_small_matrix(spark):
-    corpus = matrix_corpus(spark, MATRIX)
-    labels = clusters.fixed_k_clusters(corpus, 2)
-    assert members(corpus, labels) == {frozenset({0, 1, 5}), frozenset({2, 3, 4, 6})}
-    labelled = clusters.drop_singletons(clusters.with_copies(corpus, labels))
-    words = clusters.top_keywords(clusters.keyword_weights(corpus, labelled)).filter("label = 2").orderBy("rank")
-    means = {t: np.mean([MATRIX[i][k] for i in (2, 3, 4, 6)]) for k, t in enumerate(("first", "second", "third"))}
-    assert [(r.term, round(r.weight, 6)) for r in words.collect()] == [(t, round(m, 6)) for t, m in sorted(means.items(), key=lambda x: -x[1])]
-    top = clusters.top_keywords(clusters.keyword_weights(corpus, labelled), limit=1)
-    assert {(r.label, r.term) for r in top.collect()} == {(0, "third"), (2, "first")}
+def plain_bisecting(points: dict[int, np.ndarray], k: int, rounds: int = clusters.ROUNDS) -> set[frozenset]:
+    """The same cuts with dense vectors, one window at a time."""
+    groups = [sorted(points)]
+    while len(groups) < k:
+        error = [round(float(((np.array([points[i] for i in g]) - np.mean([points[i] for i in g], axis=0)) ** 2).sum()), 6) for g in groups]
+        if max(error) <= 0:
+            break
+        at = error.index(max(error))
+        ids = groups[at]
+        far = lambda i: min(ids, key=lambda j: (round(float(points[i] @ points[j]), 9), j))
+        one = far(ids[0])
+        c = [points[one], points[far(one)]]
+        side = None
+        for _ in range(rounds):
+            new = [int(round(c[1] @ c[1] - 2 * points[i] @ c[1], 9) < round(c[0] @ c[0] - 2 * points[i] @ c[0], 9)) for i in ids]
+            if new == side:
+                break
+            side = new
+            c = [np.mean([points[i] for i, s in zip(ids, side) if s == h], axis=0) if h in side else np.zeros_like(c[0]) for h in (0, 1)]
+        groups[at] = [i for i, s in zip(ids, side) if not s]
+        groups.append([i for i, s in zip(ids, side) if s])
+    return {frozenset(g) for g in groups}
+
+
+@pytest.mark.parametrize("k", [3])
+def test_each_window_is_bisected_by_itself(spark, k):
+    docs, later = random_docs(31, 24), random_docs(32, 18)
+    both = counts_of(spark, docs).unionByName(counts_of(spark, later, "2024-01-03"))
+    corpus = similarity.collapse_copies(terms.tfidf_vectors(both))
+    labels = clusters.label_members(corpus, clusters.fixed_k_clusters(corpus, k)).collect()
+    for day, own in (("2024-01-02", docs), ("2024-01-03", later)):
+        _, _, w = exact(own)
+        want = plain_bisecting({i: np.asarray(row) for i, row in enumerate(w)}, k)
+        found: dict = {}
+        for r in labels:
+            if str(r.end).startswith(day):
+                found.setdefault(r.label, set()).add(int(r.article_id))
+        assert {frozenset(g) for g in found.values()} == want
+
+
+def test_fewer_different_articles_than_groups(spark):
+    corpus = corpus_of(spark, {0: {"a": 1}, 1: {"a": 1}, 2: {"b": 2, "c": 1}})
+    assert members(corpus, clusters.fixed_k_clusters(corpus, 5)) == {frozenset({0, 1}), frozenset({2})}
+
+
+def test_keywords_are_means_over_all_members(spark):
+    docs = random_docs(33, 12)
+    _, _, w = exact(docs)
+    vocab = sorted({t for d in docs.values() for t in d})
+    corpus = corpus_of(spark, docs)
+    labelled = clusters.drop_singletons(clusters.with_copies(corpus, clusters.threshold_components(corpus, 0.05)))
+    words = clusters.top_keywords(clusters.keyword_weights(corpus, labelled), limit=3).collect()
+    groups = [sorted(g) for g in members(corpus, clusters.threshold_components(corpus, 0.05)) if len(g) > 1]
+    want = set()
+    for g in groups:
+        mean = np.asarray(w)[g].mean(axis=0)
+        best = sorted(range(len(mean)), key=lambda i: (-round(float(mean[i]), 9), vocab[i]))[:3]
+        want |= {(g[0], vocab[i], round(float(mean[i]), 6)) for i in best if mean[i] > 0}
+    assert {(int(r.label), r.term, round(r.weight, 6)) for r in words} == want
 
 
 def test_thresholds_at_their_limits(spark):
