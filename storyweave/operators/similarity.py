@@ -1,9 +1,10 @@
 """Exact cosine self-join of TF-IDF vectors, per window.
 
 Equal vectors are first collapsed to one representative, so a group of copies costs one row. The representatives of a window
-are dealt into blocks of bounded size, and block is multiplied with block inside tasks, so no list of pairs sharing a term ever
-exists. Only pairs that reach the threshold leave a task, or fewer still where the caller needs just connectivity or
-counts. It is the same for a window of one block and for one of thousands.
+are dealt into blocks of bounded size by their heaviest term, and block is multiplied with block inside tasks, so no list of pairs sharing
+a term ever exists. Before that each block is summed up by its largest weight of every term, and an article goes only to those
+other blocks where its product with these weights, which none of the block's articles exceeds, reaches the threshold. Only
+pairs that reach the threshold leave a task, or fewer still where the caller needs just connectivity or counts.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,8 @@ from storyweave.session import staged
 
 SLACK = 1e-9
 DIGITS = 9
+PROFILES = 32  # blocks that a task compares a block's articles with at once
+_LOOSE = 1e-4  # what single precision may take from a bound, many times over
 
 
 @dataclass(frozen=True)
@@ -109,13 +113,7 @@ def _block_pairs(reps: DataFrame, threshold: float, keep: str, limits: Limits) -
         held = held.withColumn("core", F.lit(True))
     if "copies" not in held.columns:
         held = held.withColumn("copies", F.lit(1).cast("long"))
-    sizes = held.groupBy(*RUN).agg(limits.blocks(F.sum(F.size("vector")), F.count("*")).alias("blocks"))
-    placed = held.join(sizes, RUN).withColumn("block", F.pmod(F.xxhash64("article_id"), F.col("blocks")).cast("int"))
-    copies = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        *RUN, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
-        "article_id", "copies", "core",
-        F.transform("vector", lambda e: e["term"]).alias("terms"),
-        F.transform("vector", lambda e: e["weight"]).alias("weights"))
+    copies = _copies(held, threshold, limits)
     kind = reps.schema["article_id"].dataType
     run = [T.StructField(c, reps.schema[c].dataType) for c in RUN]
     if keep == "degree":
@@ -129,6 +127,97 @@ def _block_pairs(reps: DataFrame, threshold: float, keep: str, limits: Limits) -
     return found.select(*RUN, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "cosine")
 
 
+def block_copies(reps: DataFrame, threshold: float, limits: Limits = Limits()) -> DataFrame:
+    """``(begin, end, lo, hi, block, article_id)``: which pairs of blocks each article is sent to, for measuring."""
+    held = reps.withColumn("vector", F.filter("vector", lambda e: e["weight"] > 0)).filter(F.size("vector") > 0).withColumn("core", F.lit(True))
+    return _copies(held, threshold, limits).select(*RUN, "lo", "hi", "block", "article_id")
+
+
+def _dealt(held: DataFrame, limits: Limits) -> tuple[DataFrame, DataFrame]:
+    """``(articles, cuts)``: articles with ``lead``, their heaviest term, and for each lead its bin and the pieces this is cut into.
+
+    Leads of few articles share a bin; a bin or lead beyond the limits is cut by the article's hash. One row per lead, not per article.
+    """
+    heaviest = F.array_max(F.transform("vector", lambda e: F.struct(F.round(e["weight"], DIGITS).alias("w"), e["term"].alias("t"))))["t"]
+    led = held.withColumn("lead", heaviest)
+    leads = led.groupBy(*RUN, "lead").agg(F.sum(F.size("vector")).alias("postings"), F.count("*").alias("n"))
+    leads = leads.withColumn("pieces", limits.blocks(F.col("postings"), F.col("n")))
+    few = F.col("pieces") == 1
+    bins = leads.groupBy(*RUN).agg(limits.blocks(F.coalesce(F.sum(F.when(few, F.col("postings"))), F.lit(0)),
+                                                 F.coalesce(F.sum(F.when(few, F.col("n"))), F.lit(0))).alias("bins"))
+    hashed = F.xxhash64("lead")
+    binned = leads.join(bins, RUN).withColumn("bin", F.when(few, F.pmod(hashed, F.col("bins"))).otherwise(hashed))
+    sizes = binned.groupBy(*RUN, "bin").agg(limits.blocks(F.sum("postings"), F.sum("n")).alias("pieces"))
+    return led, binned.select(*RUN, "lead", "bin").join(sizes, [*RUN, "bin"])
+
+
+def _copies(held: DataFrame, threshold: float, limits: Limits) -> DataFrame:
+    """Articles with the pairs of blocks ``(lo, hi)`` they are needed in: their own block with itself, and those that their bound admits.
+
+    Windows of one block each need no bounds; whether there are others only decides what is planned, not what is found.
+    """
+    led, cuts = _dealt(held, limits)
+    cuts = staged(cuts, "cuts")
+    columns = ["article_id", "copies", "core", "terms", "weights"]
+    parts = {"terms": F.transform("vector", lambda e: e["term"]), "weights": F.transform("vector", lambda e: e["weight"])}
+    spread = cuts.groupBy(*RUN).agg(F.count_distinct("bin").alias("bins"), F.max("pieces").alias("pieces")).filter("bins > 1 or pieces > 1")
+    if spread.isEmpty():
+        alone = F.lit(0).cast("bigint")
+        return held.withColumns(parts).select(*RUN, alone.alias("lo"), alone.alias("hi"), alone.alias("block"), *columns)
+    piece = F.pmod(F.xxhash64(F.lit(1), "article_id"), F.col("pieces"))
+    # Blocks are named by a hash; two of one name would be one block, which changes no result.
+    placed = staged(led.withColumns(parts).join(cuts, [*RUN, "lead"]).withColumn("block", F.xxhash64("bin", piece)).select(*RUN, "block", *columns), "placed")
+    tops = (placed.select(*RUN, "block", F.inline(F.arrays_zip("terms", "weights"))).groupBy(*RUN, "block", "terms").agg(F.max("weights").alias("top"))
+            .groupBy(*RUN, "block").agg(F.collect_list("terms").alias("terms"), F.collect_list("top").alias("tops")))
+    groups = placed.select(*RUN, "block").distinct().groupBy(*RUN).agg(
+        F.collect_list("block").alias("of"), F.ceil(F.count("*") / PROFILES).cast("int").alias("groups"))
+    # A block's profile goes to every block, its articles to every group of profiles only.
+    shown = (tops.join(groups, RUN).withColumn("group", F.pmod(F.xxhash64(F.lit(2), "block"), F.col("groups")).cast("int"))
+             .select(*RUN, F.explode("of").alias("to"), "group", "block", "terms", "tops").filter("`to` <> block")
+             .select(*[F.col(c).alias(f"p_{c}") for c in (*RUN, "to", "group", "block", "terms", "tops")]))
+    asking = placed.join(groups.drop("of"), RUN).withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select(
+        *RUN, "block", "group", *columns)
+    schema = T.StructType([*placed.schema.fields, T.StructField("other", T.LongType())])
+    admitted = asking.groupBy(*RUN, "block", "group").cogroup(shown.groupBy(*[f"p_{c}" for c in (*RUN, "to", "group")])).applyInArrow(
+        _bounded(threshold), schema)
+    both = placed.withColumn("other", F.col("block")).unionByName(admitted)
+    return both.select(*RUN, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", *columns)
+
+
+def _bounded(threshold: float):
+    """The task of one block and a group of other blocks' profiles: a row for each article and block that may hold a partner of it."""
+
+    def run(articles: pa.Table, profiles: pa.Table) -> pa.Table:
+        names = [*RUN, "block", "article_id", "copies", "core", "terms", "weights"]
+        articles = articles.select(names).combine_chunks()
+        chosen, others = [], []
+        if articles.num_rows and profiles.num_rows:
+            lists = articles.column("terms").combine_chunks()
+            coded = pa.array(lists.flatten()).dictionary_encode()
+            codes = coded.indices.to_numpy(zero_copy_only=False)
+            weights = articles.column("weights").combine_chunks().flatten().to_numpy().astype(np.float32)
+            offsets = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
+            tops = np.zeros((len(coded.dictionary), profiles.num_rows), np.float32)
+            for k in range(profiles.num_rows):
+                place = pc.index_in(profiles.column("p_terms")[k].values, value_set=coded.dictionary)
+                known = np.flatnonzero(place.is_valid().to_numpy(zero_copy_only=False))
+                tops[place.drop_null().to_numpy(), k] = profiles.column("p_tops")[k].values.to_numpy()[known]
+            blocks = profiles.column("p_block").to_numpy()
+            step = max(1, (1 << 17) * articles.num_rows // max(len(codes), 1))
+            for at in range(0, articles.num_rows, step):
+                cut = offsets[at:at + step + 1]
+                part = tops[codes[cut[0]:cut[-1]]] * weights[cut[0]:cut[-1], None]
+                bound = np.add.reduceat(part, cut[:-1] - cut[0], axis=0)
+                row, block = np.nonzero(bound >= threshold - _LOOSE)
+                chosen.append(row + at)
+                others.append(blocks[block])
+        taken = np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
+        other = np.concatenate(others) if others else np.zeros(0, np.int64)
+        return articles.take(pa.array(taken)).append_column("other", pa.array(other, pa.int64()))
+
+    return run
+
+
 def _multiply(threshold: float, keep: str):
     """The task of one block pair: rows of one block against the inverted lists of the other."""
 
