@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -387,8 +387,22 @@ def cluster_articles(counts: DataFrame, method: str, parameters: dict | None = N
     """
     from storyweave.operators.terms import tfidf_vectors
 
+    return cluster_vectors(tfidf_vectors(counts), method, parameters, runtime, limit)
+
+
+def cluster_sliding(counts: DataFrame, size: timedelta, slide: timedelta, method: str, parameters: dict | None = None,
+                    runtime: datetime | Column | None = None, limit: int = 10) -> Clusters:
+    """Cluster every window of ``size`` ending on a multiple of ``slide`` over ``counts(article_id, term, count, added_at)``."""
+    from storyweave.operators.terms import sliding_tfidf_vectors
+
+    return cluster_vectors(sliding_tfidf_vectors(counts, size, slide), method, parameters, runtime, limit)
+
+
+def cluster_vectors(vectors: DataFrame, method: str, parameters: dict | None = None,
+                    runtime: datetime | Column | None = None, limit: int = 10) -> Clusters:
+    """``cluster_articles`` from the windows' TF-IDF vectors."""
     parameters = parameters or {}
-    corpus = collapse_copies(tfidf_vectors(counts))
+    corpus = collapse_copies(vectors)
     labels = METHODS[method](corpus, **parameters)
     labelled = staged(drop_singletons(with_copies(corpus, labels)), "labelled")
     kind, text = F.lit(method), F.lit(json.dumps(parameters, sort_keys=True))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storyweave.functions.text import Tokenizer, tokenise
-from storyweave.operators.windows import RUN
+from storyweave.operators.windows import RUN, Panes
 
 
 def term_counts(docs: DataFrame, tokens: Tokenizer = tokenise,
@@ -54,6 +54,32 @@ def tfidf_vectors(counts: DataFrame) -> DataFrame:
     return gathered.select(*RUN, "article_id", scaled.alias("vector"))
 
 
+def sliding_tfidf_vectors(counts: DataFrame, size: timedelta, slide: timedelta) -> DataFrame:
+    """``tfidf_vectors`` of ``sliding_windows(counts, size, slide)`` without a copy of each term count for every window.
+
+    Frequencies and totals are counted once per pane; a window's are differences of their running sums. A term count meets the
+    frequencies of all its windows in one array, and only an article's finished vector is written out for each window.
+    """
+    panes = Panes(size, slide)
+    rows = counts.select("article_id", "term", "count", panes.pane().alias("pane"))
+    held = panes.sums(rows.groupBy(F.col("term").alias("key"), "pane").agg(F.count("*").alias("n")))
+    articles = rows.select("article_id", "pane").distinct().groupBy("pane").agg(F.count("*").alias("n"))
+    totals = panes.sums(articles.withColumn("key", F.lit(0))).select("pane", F.col("sums").alias("totals"))
+    gathered = (rows.join(held.select(F.col("key").alias("term"), "pane", F.col("sums").alias("dfs")), ["term", "pane"])
+                .groupBy("article_id", "pane").agg(F.sort_array(F.collect_list(F.struct("term", "count", "dfs"))).alias("entries")))
+    of_window = (gathered.join(totals, "pane").select("article_id", "entries", panes.first_end().alias("first"), F.posexplode("totals").alias("nth", "n"))
+                 .select("article_id", "entries", "nth", "n", *panes.bounds(F.col("first") + F.col("nth"))))
+    raw = F.transform("entries", lambda e: F.struct(
+        e["term"].alias("term"), e["count"].alias("count"),
+        (e["count"] * (F.log((1 + F.col("n")) / (1 + F.get(e["dfs"], F.col("nth")))) + 1)).alias("weight")))
+    weighed = of_window.select(*RUN, "article_id", F.inline(F.array(F.struct(raw.alias("raw")))))
+    norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda acc, e: acc + e["weight"] * e["weight"]))
+    normed = weighed.select(*RUN, "article_id", F.inline(F.array(F.struct("raw", norm.alias("norm")))))
+    scaled = F.transform("raw", lambda e: F.struct(
+        e["term"].alias("term"), e["count"].alias("count"), F.coalesce(F.try_divide(e["weight"], F.col("norm")), F.lit(0.0)).alias("weight")))
+    return normed.select(*RUN, "article_id", scaled.alias("vector"))
+
+
 def explode_vectors(vectors: DataFrame) -> DataFrame:
     """``(begin, end, article_id, term, count, weight)``."""
     return vectors.select(*RUN, "article_id", F.inline("vector"))

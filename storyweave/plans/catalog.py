@@ -467,6 +467,30 @@ def story_clusters(spark, folder):
     return shown(joined, "id", "type", *RUN, "added_at", "article_id")
 
 
+def _sliding_members(spark, folder, size: timedelta, slide: timedelta) -> DataFrame:
+    found = clusters.cluster_sliding(termcount(spark, folder), size, slide, "threshold", {"threshold": THRESHOLD})
+    return shown(found.clusters.join(found.links, found.clusters["id"] == found.links["cluster_id"]), "id", *RUN, "article_id")
+
+
+@query
+def story_clusters_12h_hourly(spark, folder):
+    """Windows of half a day ending every hour, by panes."""
+    return _sliding_members(spark, folder, timedelta(hours=12), timedelta(hours=1))
+
+
+@query
+def story_clusters_3d_6h(spark, folder):
+    """Windows of three days ending every six hours, by panes."""
+    return _sliding_members(spark, folder, timedelta(days=3), timedelta(hours=6))
+
+
+@query
+def sliding_tfidf(spark, folder):
+    """Weights in windows of half a day ending every six hours."""
+    vectors = terms.sliding_tfidf_vectors(termcount(spark, folder), timedelta(hours=12), timedelta(hours=6))
+    return shown(terms.explode_vectors(vectors).select(*RUN, "article_id", "term", F.round("weight", 6).alias("weight")))
+
+
 @query
 def cluster_keywords(spark, folder):
     found = daily_clusters(spark, folder)

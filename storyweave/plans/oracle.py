@@ -30,6 +30,12 @@ def windows(size: str, slide: str, rows: str) -> str:
 
 DAILY = f"""{TC}, {windows('1 DAY', '1 DAY', 'tc')},
 d AS (SELECT wb, we, article_id, term, cnt FROM tc JOIN win ON added_at BETWEEN wb AND we)"""
+
+
+def sliding(size: str, slide: str) -> str:
+    return f"""{TC}, {windows(size, slide, 'tc')}, d AS (SELECT wb, we, article_id, term, cnt FROM tc JOIN win ON added_at BETWEEN wb AND we)"""
+
+
 WIDE = f"""{TC}, d AS (SELECT TIMESTAMP '2024-01-01' AS wb, TIMESTAMP '2024-01-01' AS we, article_id, term, cnt FROM tc)"""
 WEIGHTS = """n AS (SELECT wb, we, count(DISTINCT article_id) AS n FROM d GROUP BY ALL),
 df AS (SELECT wb, we, term, count(*) AS df FROM d GROUP BY ALL),
@@ -159,6 +165,12 @@ PARSED = """CASE event_id % 12 WHEN 0 THEN date_trunc('second', ts) + INTERVAL 5
     WHEN 3 THEN TIMESTAMP '2024-06-01' + (date_trunc('second', ts) - date_trunc('day', ts)) WHEN 4 THEN date_trunc('second', ts) - INTERVAL 2 HOUR
     WHEN 10 THEN date_trunc('minute', ts) ELSE date_trunc('second', ts) END"""
 
+
+def _members(size: str, slide: str) -> str:
+    return f"""{labels(sliding(size, slide), THRESHOLD)}, big AS (SELECT wb, we, label FROM lab GROUP BY ALL HAVING count(*) > 1)
+SELECT sha256('threshold|{{"threshold": {THRESHOLD}}}|' || epoch_us(wb) || '|' || epoch_us(we) || '|' || label) AS id, {BOUNDS}, v AS article_id FROM lab JOIN big USING (wb, we, label)"""
+
+
 ORACLE: dict[str, str] = {
     "load_registry": f"WITH {SOURCE} SELECT id, name FROM source",
     "select_sources": f"WITH {SOURCE} SELECT id, name FROM source WHERE name IN ('src1', 'src2', 'src3')",
@@ -225,6 +237,9 @@ ORACLE: dict[str, str] = {
         SELECT {BOUNDS}, v AS article_id, label FROM (SELECT * FROM lab UNION ALL SELECT * FROM border)""",
     "fixed_k_clusters": f"""WITH {DAILY}, {WEIGHTS}, {halves()} SELECT {BOUNDS}, article_id, min(article_id) OVER (PARTITION BY wb, we, side) AS label FROM s{ROUNDS}""",
     "story_clusters": f"""{CLUSTERS} SELECT id, 'threshold' AS type, {BOUNDS}, {text_time('we')} AS added_at, article_id FROM clus JOIN links ON id = cluster_id""",
+    "story_clusters_12h_hourly": _members("12 HOUR", "1 HOUR"),
+    "story_clusters_3d_6h": _members("3 DAY", "6 HOUR"),
+    "sliding_tfidf": f"WITH {sliding('12 HOUR', '6 HOUR')}, {WEIGHTS} SELECT {BOUNDS}, article_id, term, round(w, 6) AS weight FROM w",
     "cluster_keywords": f"{CLUSTERS} SELECT cluster_id, term, round(weight, 6) AS weight FROM keywords",
     "cluster_source_count": f"{CLUSTERS} SELECT cluster_id, size FROM sizes",
     "latest_added_at": f"{CLUSTERS} SELECT {text_time('max(we)')} AS added_at FROM clus",
