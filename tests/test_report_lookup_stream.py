@@ -1,6 +1,8 @@
 import json
+import random
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,3 +149,46 @@ def test_shared_folder_is_read_from_the_session(spark):
     from storyweave.session import shared_folder
 
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def plain_titles(rows, present, length):
+    """One row after another: (url, title, source, minute)."""
+    seen, kept = {u for u, *_ in present}, []
+    tags = {}
+    for u, title, source, at in present:
+        tags.setdefault((title, source), []).append(at)
+    for at, u, title, source in sorted({(at, u, title, source) for u, title, source, at in rows if u not in seen}, key=lambda r: r[:2]):
+        own = tags.get((title, source), [])
+        if any(at - length < t < at for t in own + [k[3] for k in kept if k[1:3] == (title, source)]) or u in {k[0] for k in kept}:
+            continue
+        kept.append((u, title, source, at))
+    return sorted(kept)
+
+
+@pytest.mark.parametrize("seed,length", [(1, 30), (2, 7)])
+def test_titles_in_the_look_back_as_one_row_after_another(spark, seed, length):
+    from storyweave.operators.articles import fresh_titles
+
+    rng = random.Random(seed)
+
+    def row(base):
+        u = f"{base}{rng.randrange(250)}"
+        h = sum(map(ord, u)) % 3  # an address keeps its title and source; the first title holds a third of all rows
+        return (u, f"t{h}", h % 2, rng.randrange(600))
+
+    rows, present = [row("n") for _ in range(300)], [row("o") for _ in range(12)] + [row("n") for _ in range(5)]
+
+    def table(found):
+        df = spark.createDataFrame(found, "url string, title string, source_id int, minute long")
+        return df.select("url", "title", "source_id", F.timestamp_seconds(F.col("minute") * 60 + 1_700_000_000).alias("added_at"))
+
+    got = fresh_titles(table(rows), table(present), timedelta(minutes=length)).withColumn("m", (F.unix_seconds("added_at") - 1_700_000_000) / 60)
+    assert sorted({(r.url, r.title, r.source_id, int(r.m)) for r in got.collect()}) == plain_titles(rows, present, length)
+
+
+def test_rows_without_title_or_source_are_like_no_other(spark):
+    from storyweave.operators.articles import fresh_titles
+
+    df = spark.createDataFrame([("a", None, 1, "2024-01-01"), ("b", None, 1, "2024-01-02"), ("c", "t", None, "2024-01-01"), ("d", "t", 1, "2024-01-01")],
+                               "url string, title string, source_id int, day string").select("url", "title", "source_id", F.col("day").cast("timestamp").alias("added_at"))
+    assert {r.url for r in fresh_titles(df, df.limit(0), timedelta(days=9)).collect()} == {"a", "b", "c", "d"}
