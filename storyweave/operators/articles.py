@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from storyweave.functions.html import extract_container_text
 from storyweave.session import checkpointed
+from storyweave.sources.tables import in_days
 
 
 def dedupe_titles(new: DataFrame, existing: DataFrame, runtime: Column,
@@ -18,7 +19,8 @@ def dedupe_titles(new: DataFrame, existing: DataFrame, runtime: Column,
     Two recent URLs per title and source tell whether one differs from the new one, so the hashed side has one
     row per key however often a title was posted. Repeats inside the new batch are kept.
     """
-    recent = (existing.filter(F.col("added_at") > runtime - F.lit(look_back)).groupBy("title", "source_id")
+    days = in_days(existing, runtime - F.lit(look_back))
+    recent = (days.filter(F.col("added_at") > runtime - F.lit(look_back)).groupBy("title", "source_id")
               .agg(F.min("url").alias("first_url"), F.max("url").alias("last_url")))
     other = (new["title"] == recent["title"]) & (new["source_id"] == recent["source_id"]) & (
         (new["url"] != recent["first_url"]) | (new["url"] != recent["last_url"]))

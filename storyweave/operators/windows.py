@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storyweave.sources.tables import in_days
+
 RUN = ["begin", "end"]
 
 
@@ -20,13 +22,21 @@ def _moment(value: datetime | str | Column) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
 
 
-def window_scan(df: DataFrame, begin, end, partition: str | None = None) -> DataFrame:
-    """Rows with ``begin <= added_at <= end``; ``partition`` names a date partition column to prune by."""
+def window_scan(df: DataFrame, begin, end) -> DataFrame:
+    """Rows with ``begin <= added_at <= end``; of a table laid out by day only the folders of these days are read."""
     begin, end = _moment(begin), _moment(end)
-    rows = df.filter(F.col("added_at").between(begin, end))
-    if partition:
-        rows = rows.filter(F.col(partition).between(F.to_date(begin), F.to_date(end)))
-    return rows
+    return in_days(df, begin, end).filter(F.col("added_at").between(begin, end))
+
+
+def windows_scan(df: DataFrame, windows: DataFrame) -> DataFrame:
+    """The rows of each of ``windows(begin, end)`` with its bounds. Windows meet rows by day, a column of a table laid out so, and
+    Spark prunes the folders by the windows' days where these are few.
+    """
+    days = F.sequence(F.to_date("begin"), F.to_date("end"))
+    asked = windows.select(*RUN, F.explode(days).alias("added_on"))
+    held = df if "added_on" in df.columns else df.withColumn("added_on", F.to_date("added_at"))
+    return held.join(asked, "added_on").filter(F.col("added_at").between(F.col("begin"), F.col("end"))).select(
+        *[c for c in df.columns if c not in ("added_on", "key_part")], *RUN)
 
 
 def batch_scan(df: DataFrame, tag) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from storyweave.functions import text, times
 from storyweave.functions.html import extract_container_text
 from storyweave.operators import articles, clusters, lookup, report, similarity, terms
-from storyweave.operators.windows import RUN, batch_scan, sliding_windows, window_scan
+from storyweave.operators.windows import RUN, batch_scan, sliding_windows, window_scan, windows_scan
 from storyweave.plans import views
 from storyweave.plans.views import table
 from storyweave.session import shared_folder, staged
@@ -636,3 +636,51 @@ def stream_dedupe_titles(spark, folder):
         views.slot_time(later).alias("added_at"))
     chain.stream_dedupe_titles(again, f"{root}/articles", schema, f"{root}/cp", LONG)
     return shown(tables.table_at(spark, f"{root}/articles", schema))
+
+
+# Tables laid out by hash prefix of the key and by day
+
+EVENT_LAYOUT = tables.Layout(("user_id", "event_type"), parts=8)
+ARTICLE_LAYOUT = tables.Layout(("url",), parts=8)
+COUNT_LAYOUT = tables.Layout(("article_id", "term"), parts=4)
+
+
+def _laid_out(spark, folder, name: str, rows: DataFrame, layout: tables.Layout) -> DataFrame:
+    """The rows as a stored table with this layout, written once per session and folder."""
+    key = (spark.sparkContext.applicationId, folder, f"{name}-laid-out")
+    if key not in _stored:
+        path = fresh_path(spark, name)
+        tables.append(rows, path, layout)
+        _stored[key] = tables.table_at(spark, path, rows.schema, layout)
+    return _stored[key]
+
+
+@query
+def insert_ignore_laid_out(spark, folder):
+    """A batch against a stored table of which only the parts of the batch's keys are read."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("added_at"))
+    stored_events = _laid_out(spark, folder, "events", events.filter("value > 50"), EVENT_LAYOUT)
+    present = EVENT_LAYOUT.touched(stored_events, events)
+    return shown(tables.insert_ignore(events, present, list(EVENT_LAYOUT.keys), [F.col("added_at"), F.col("event_id")]))
+
+
+@query
+def window_scan_laid_out(spark, folder):
+    every = _laid_out(spark, folder, "articles", views.article(spark, folder), ARTICLE_LAYOUT)
+    return shown(window_scan(every, "2024-01-01 06:00:00", "2024-01-01 18:00:00"), "article_id", "url", "added_at")
+
+
+@query
+def dedupe_titles_laid_out(spark, folder):
+    every = _laid_out(spark, folder, "articles", views.article(spark, folder), ARTICLE_LAYOUT)
+    kept = articles.dedupe_titles(views.article(spark, folder), every, F.lit("2024-01-01 00:00:00").cast("timestamp"), timedelta(hours=6))
+    return shown(kept, "article_id", "source_id", "url", "added_at")
+
+
+@query
+def windows_scan_laid_out(spark, folder):
+    """Term counts of two listed windows, of which one lies across midnight."""
+    counts = _laid_out(spark, folder, "termcount", termcount(spark, folder), COUNT_LAYOUT)
+    asked = spark.createDataFrame([("2024-01-01 06:00:00", "2024-01-01 18:00:00"), ("2024-01-01 22:00:00", "2024-01-02 04:00:00")], "begin string, end string")
+    rows = windows_scan(counts, asked.select(*[F.col(c).cast("timestamp").alias(c) for c in RUN]))
+    return shown(rows, *RUN, "article_id", "term", "count")

@@ -270,3 +270,10 @@ ORACLE: dict[str, str] = {
 
 for _name in ("similar_pairs", "threshold_clusters", "dbscan_clusters"):
     ORACLE[f"{_name}_blocks"] = ORACLE[_name]
+
+for _name in ("insert_ignore", "dedupe_titles"):
+    ORACLE[f"{_name}_laid_out"] = ORACLE[_name]
+ORACLE["window_scan_laid_out"] = ORACLE["window_scan_half_day"]
+ORACLE["windows_scan_laid_out"] = f"""WITH {TC}, asked AS (SELECT * FROM (VALUES (TIMESTAMP '2024-01-01 06:00:00', TIMESTAMP '2024-01-01 18:00:00'),
+  (TIMESTAMP '2024-01-01 22:00:00', TIMESTAMP '2024-01-02 04:00:00')) v(wb, we))
+  SELECT {BOUNDS}, article_id, term, cnt AS "count" FROM tc JOIN asked ON added_at BETWEEN wb AND we"""

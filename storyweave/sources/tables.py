@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,20 +38,66 @@ def rows_added(inserted: DataFrame) -> int:
     return inserted.count()
 
 
-def append(rows: DataFrame, path: str, by_day: bool = False) -> int:
-    """Append a batch to a Parquet table, by date of ``added_at`` where asked; gives the number of rows."""
+@dataclass(frozen=True)
+class Layout:
+    """A stored table's folders: ``key_part``, a hash prefix of its keys, and below it ``added_on``, the day of ``added_at``.
+
+    Inserts look for keys in the parts that the new rows' keys fall into, windows in the days that they touch. ``parts`` is a
+    property of the table: rows already written lie where it put them.
+    """
+
+    keys: tuple[str, ...]
+    parts: int = 16
+
+    def part(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int")
+
+    def stamped(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"key_part": self.part(), "added_on": F.to_date("added_at")})
+
+    def schema(self, schema: T.StructType) -> T.StructType:
+        return T.StructType([*schema.fields, T.StructField("key_part", T.IntegerType()), T.StructField("added_on", T.DateType())])
+
+    def touched(self, table: DataFrame, rows: DataFrame) -> DataFrame:
+        """The table's rows in parts that keys of ``rows`` fall into; the numbers of these parts, ``parts`` at most, go through the driver."""
+        parts = sorted(r[0] for r in rows.select(self.part()).distinct().collect())
+        return table.filter(F.col("key_part").isin(parts))
+
+
+def in_days(table: DataFrame, since: Column | None = None, until: Column | None = None) -> DataFrame:
+    """Rows of the days from that of ``since`` to that of ``until``: whole folders of a table laid out by day, all rows of another."""
+    if "added_on" not in table.columns:
+        return table
+    if since is not None:
+        table = table.filter(F.col("added_on") >= F.to_date(since))
+    return table if until is None else table.filter(F.col("added_on") <= F.to_date(until))
+
+
+def append(rows: DataFrame, path: str, layout: Layout | None = None) -> int:
+    """Append a batch to a Parquet table, in the folders of its layout if it has one; gives the number of rows."""
     batch = staged(rows, "append")
     added = rows_added(batch)
-    if added:
-        if by_day:
-            batch.withColumn("added_on", F.to_date("added_at")).write.mode("append").partitionBy("added_on").parquet(path)
-        else:
-            batch.write.mode("append").parquet(path)
+    if added and layout:
+        # A task for each folder, so that a batch adds one file to it at most.
+        layout.stamped(batch).repartition("key_part", "added_on").write.mode("append").partitionBy("key_part", "added_on").parquet(path)
+    elif added:
+        batch.write.mode("append").parquet(path)
     return added
 
 
-def table_at(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table, empty while nothing has been appended."""
+def compact(spark: SparkSession, path: str, schema: T.StructType, layout: Layout, day: str) -> None:
+    """Write the files that a day's batches left as one file for each part; other days are not touched.
+
+    For the writer of the table, between batches: the rows are staged first and then take the place of the day's folders.
+    """
+    rows = staged(table_at(spark, path, schema, layout).filter(F.col("added_on") == F.lit(day).cast("date")), "compact")
+    (rows.repartition("key_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("key_part", "added_on").parquet(path))
+
+
+def table_at(spark: SparkSession, path: str, schema: T.StructType, layout: Layout | None = None) -> DataFrame:
+    """A stored table, empty while nothing has been appended; one with a layout has ``key_part`` and ``added_on`` too."""
+    schema = layout.schema(schema) if layout else schema
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:

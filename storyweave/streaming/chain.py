@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from storyweave.functions.text import Tokenizer, tokenise
 from storyweave.operators.articles import fresh_titles
 from storyweave.operators.terms import term_counts
-from storyweave.sources.tables import append, insert_ignore, table_at
+from storyweave.session import staged
+from storyweave.sources.tables import Layout, append, in_days, insert_ignore, table_at
 
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -29,29 +30,33 @@ def follow(upstream: DataFrame, target: str, checkpoint: str, stage: Callable[[D
 
 
 def chain(upstream: DataFrame, stage: Stage, target: str, schema: T.StructType, keys: list[str],
-          order: list[Column], checkpoint: str, by_day: bool = False) -> None:
+          order: list[Column], checkpoint: str, layout: Layout | None = None) -> None:
     """New upstream rows through ``stage`` into the table at ``target``, ignoring keys already there.
 
-    Rows carry the ``added_at`` of their upstream batch, which stays their tag down the chain.
+    Rows carry the ``added_at`` of their upstream batch, which stays their tag down the chain. Of a target with a ``layout`` (by its
+    keys) only the parts that the batch's keys fall into are read.
     """
     def run(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
-        present = table_at(batch.sparkSession, target, schema)
-        append(insert_ignore(stage(batch), present, keys, order).select(*schema.fieldNames()), target, by_day)
+        present, made = table_at(batch.sparkSession, target, schema, layout), stage(batch)
+        if layout:
+            made = staged(made, "stage")
+            present = layout.touched(present, made)
+        append(insert_ignore(made, present, keys, order).select(*schema.fieldNames()), target, layout)
 
     follow(upstream, target, checkpoint, run)
 
 
 def stream_term_counts(upstream: DataFrame, target: str, schema: T.StructType, checkpoint: str,
-                       tokens: Tokenizer = tokenise) -> None:
+                       tokens: Tokenizer = tokenise, layout: Layout | None = None) -> None:
     """Parsed content to term counts; articles are independent, so a batch needs only its own rows."""
     chain(upstream, lambda batch: term_counts(batch, tokens), target, schema, ["article_id", "term"],
-          [F.col("added_at")], checkpoint)
+          [F.col("added_at")], checkpoint, layout)
 
 
 def stream_dedupe_titles(upstream: DataFrame, target: str, schema: T.StructType, checkpoint: str,
-                         look_back: timedelta = timedelta(hours=6)) -> None:
+                         look_back: timedelta = timedelta(hours=6), layout: Layout | None = None) -> None:
     """New articles into the article table, without those re-posted under another URL within the look-back.
 
     Each row is compared with what was added in the look-back before its own tag, earlier rows of the same batch included, so
@@ -60,8 +65,11 @@ def stream_dedupe_titles(upstream: DataFrame, target: str, schema: T.StructType,
     def run(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
-        present = table_at(batch.sparkSession, target, schema)
-        fresh = fresh_titles(batch, present, look_back)
-        append(insert_ignore(fresh, present, ["url"], [F.col("added_at"), F.col("url")]).select(*schema.fieldNames()), target)
+        present = table_at(batch.sparkSession, target, schema, layout)
+        known = layout.touched(present, batch) if layout else present  # by url: the table's key
+        first = batch.agg(F.min("added_at")).first()[0]
+        recent = in_days(present, F.lit(first) - F.lit(look_back))
+        fresh = fresh_titles(batch.join(known.select("url"), "url", "left_anti"), recent, look_back)
+        append(insert_ignore(fresh, known, ["url"], [F.col("added_at"), F.col("url")]).select(*schema.fieldNames()), target, layout)
 
     follow(upstream, target, checkpoint, run)
