@@ -50,40 +50,64 @@ class Selector:
         return True
 
 
+class _Container:
+    """The first element that matches one selector, and the text of each ``<p>`` below it."""
+
+    def __init__(self, selector: Selector):
+        self.selector = selector
+        self.depth = 0  # open elements up to and including the container, 0 before it is found
+        self.done = False
+        self.texts: list[list[str]] = []
+        self.active: list[tuple[int, list[str]]] = []
+
+    def closed(self, place: int) -> None:
+        """The element at this depth has ended, with all below it."""
+        while self.active and self.active[-1][0] >= place:
+            self.active.pop()
+        if self.depth and place <= self.depth:
+            self.done = True
+
+
+class _Found(Exception):
+    """What is still unread cannot change the result."""
+
+
 class _Paragraphs(HTMLParser):
-    """Collects the text of each ``<p>`` below the first element matching the selector.
+    """Follows all selectors of a list in one reading, and stops where the container of the first has ended.
 
     An end tag closes the open elements up to its own and is ignored without one; a ``<p>`` is not closed by the
     next, so text after an unclosed one belongs to both, unless ``close_paragraphs`` is set.
     """
 
-    def __init__(self, selector: Selector, close_paragraphs: bool):
+    def __init__(self, selectors: list[Selector], close_paragraphs: bool):
         super().__init__(convert_charrefs=True)
-        self.selector, self.close_paragraphs = selector, close_paragraphs
+        self.containers, self.close_paragraphs = [_Container(s) for s in selectors], close_paragraphs
         self.open: list[str] = []
-        self.depth = 0  # open elements up to and including the container, 0 before it is found
-        self.done = False
-        self.texts: list[list[str]] = []
-        self.active: list[tuple[int, list[str]]] = []
+
+    def _settle(self) -> None:
+        if self.containers[0].done:
+            raise _Found
 
     def handle_starttag(self, tag, attrs):
-        if self.done:
-            return
-        if self.depth and tag == "p" and self.close_paragraphs and self.active:
-            self._close(self.active[-1][0])
         attributes = {key: value or "" for key, value in attrs}
-        found = not self.depth and self.selector.matches(tag, attributes)
+        if tag == "p" and self.close_paragraphs:
+            inner = [c.active[-1][0] for c in self.containers if c.active and not c.done]
+            if inner:
+                self._close(max(inner))
+        starts = [c for c in self.containers if not c.depth and c.selector.matches(tag, attributes)]
         if tag in VOID:
-            if found:
-                self.depth, self.done = len(self.open) + 1, True
-            return
+            for container in starts:
+                container.depth, container.done = len(self.open) + 1, True
+            return self._settle()
         self.open.append(tag)
-        if found:
-            self.depth = len(self.open)
-        elif self.depth and tag == "p":
-            text: list[str] = []
-            self.texts.append(text)
-            self.active.append((len(self.open), text))
+        for container in starts:
+            container.depth = len(self.open)
+        if tag == "p":
+            for container in self.containers:
+                if container.depth and not container.done and container not in starts:
+                    text: list[str] = []
+                    container.texts.append(text)
+                    container.active.append((len(self.open), text))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -97,37 +121,40 @@ class _Paragraphs(HTMLParser):
 
     def _close(self, place: int) -> None:
         del self.open[place - 1:]
-        while self.active and self.active[-1][0] >= place:
-            self.active.pop()
-        if self.depth and place <= self.depth:
-            self.done = True
+        for container in self.containers:
+            container.closed(place)
+        self._settle()
 
     def handle_data(self, data):
-        if self.active and not self.done and not UNSEEN.intersection(self.open[self.active[-1][0]:]):
-            for _, text in self.active:
-                text.append(data)
+        for container in self.containers:
+            if container.active and not container.done and not UNSEEN.intersection(self.open[container.active[-1][0]:]):
+                for _, text in container.active:
+                    text.append(data)
 
 
 def container_text(html: str, selectors: list[dict], close_paragraphs: bool = False) -> str | None:
-    """Paragraph texts of the first container found, joined by a blank; None when no selector finds one."""
-    for config in selectors:
-        parser = _Paragraphs(Selector(config), close_paragraphs)
+    """Paragraph texts of the container that the first selector with one finds, joined by a blank; None when no selector finds one."""
+    if not selectors:
+        return None
+    parser = _Paragraphs([Selector(config) for config in selectors], close_paragraphs)
+    try:
         parser.feed(html)
         parser.close()
-        if parser.depth:
-            return " ".join("".join(text) for text in parser.texts)
-    return None
+    except _Found:
+        pass
+    found = next((c for c in parser.containers if c.depth), None)
+    return None if found is None else " ".join("".join(text) for text in found.texts)
 
 
-def extract_container_text(pages: DataFrame, close_paragraphs: bool = False) -> DataFrame:
-    """``(article_id, content, parser_config)`` to ``(article_id, content)``, null where no container is found."""
-    schema = T.StructType([pages.schema["article_id"], T.StructField("content", T.StringType())])
+def extract_container_text(pages: DataFrame, close_paragraphs: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(article_id, content, parser_config)`` to ``(article_id, content)`` and the columns to ``keep``; null where no container is found."""
+    schema = T.StructType([pages.schema["article_id"], T.StructField("content", T.StringType()), *[pages.schema[c] for c in keep]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [container_text(html, config, close_paragraphs) if html is not None and config else None
                      for html, config in zip(batch["content"].to_pylist(), batch["parser_config"].to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [batch["article_id"], pa.array(texts, pa.string())], names=["article_id", "content"])
+                [batch["article_id"], pa.array(texts, pa.string()), *[batch[c] for c in keep]], names=["article_id", "content", *keep])
 
-    return pages.select("article_id", "content", "parser_config").mapInArrow(run, schema)
+    return pages.select("article_id", "content", "parser_config", *keep).mapInArrow(run, schema)

@@ -103,6 +103,13 @@ class Panes:
         last = end * self._step
         return [F.timestamp_micros(last - self.slides * self._step).alias("begin"), F.timestamp_micros(last).alias("end")]
 
+    def holding(self, tags: DataFrame) -> DataFrame:
+        """``(begin, end)``: the windows that hold any of the times ``tags(added_at)``, each once."""
+        panes = tags.select(self.pane().alias("pane")).distinct()
+        last = F.floor(F.col("pane") / 2).cast("long") + self.slides
+        ends = panes.select(F.explode(F.sequence(self.first_end(), last)).alias("e")).distinct()
+        return ends.select(*self.bounds(F.col("e")))
+
     def sums(self, counted: DataFrame) -> DataFrame:
         """``(key, pane, sums)`` of ``counted(key, pane, n)``, one row per key and pane: for each window holding the pane, in order of their ends, the sum
         of the key's n over the window. Each is the difference of two running sums over the key's panes.

@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 from storyweave.functions import text, times
 from storyweave.functions.html import extract_container_text
 from storyweave.operators import articles, clusters, lookup, report, similarity, terms
-from storyweave.operators.windows import RUN, batch_scan, sliding_windows, window_scan, windows_scan
+from storyweave.operators.windows import RUN, Panes, batch_scan, sliding_windows, window_scan, windows_scan
 from storyweave.plans import views
 from storyweave.plans.views import table
+from storyweave.schemas import CLUSTER, CLUSTER_KEYWORD
 from storyweave.session import shared_folder, staged
 from storyweave.sources import feeds, registry, tables
 from storyweave.streaming import chain
@@ -684,3 +685,65 @@ def windows_scan_laid_out(spark, folder):
     asked = spark.createDataFrame([("2024-01-01 06:00:00", "2024-01-01 18:00:00"), ("2024-01-01 22:00:00", "2024-01-02 04:00:00")], "begin string, end string")
     rows = windows_scan(counts, asked.select(*[F.col(c).cast("timestamp").alias(c) for c in RUN]))
     return shown(rows, *RUN, "article_id", "term", "count")
+
+
+# The whole chain, from articles to the published document
+
+def _story_pages(spark, folder) -> DataFrame:
+    """A page around each document's text, its container named as the feed's selectors of its source say; every tenth has none."""
+    text = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    main = F.concat(F.lit('<div id="'), "source", F.lit('">'))
+    # The first selector of these feeds misses, the second one finds the class by a pattern.
+    other = F.concat(F.lit('<section class="wide '), F.when(F.col("doc_id") % 2 == 0, "story-text").otherwise("story"), F.lit('">'))
+    fallback = (F.substring("source", 4, 10).cast("int") < 5) & (F.col("doc_id") % 3 == 0)
+    start = F.when(F.col("doc_id") % 10 == 0, "<div>").when(fallback, other).otherwise(main)
+    page = F.concat(F.lit('<html><head><title>x</title></head><body><div class="ad"><p>buy</p></div>'), start, F.lit("<h1>Head</h1><p>"), text,
+                    F.lit("</p></div></section><p>after</p></body></html>"))
+    return table(spark, folder, "documents").select(F.col("doc_id").alias("article_id"), F.col("source").alias("rss_feed_id"), page.alias("content"),
+                                                   F.lit(200).alias("status"))
+
+
+@query
+def extract_by_feed(spark, folder):
+    """Pages through the selectors of their own feeds, joined as a stage of the chain does it."""
+    pages = _story_pages(spark, folder).filter("content is not null")
+    owners = pages.select(F.col("article_id").alias("id"), "rss_feed_id")
+    chosen = articles.with_selectors(pages.select("article_id", "content"), owners, _feeds(spark, folder))
+    return articles.drop_failed(extract_container_text(chosen), "content")
+
+
+def _run_chain(spark, folder, root: str, docs: DataFrame) -> clusters.Clusters:
+    """Every stage from new articles to cluster tables, each following the table before it, with checkpoints below ``root``."""
+    article = T.StructType([T.StructField("article_id", T.LongType()), T.StructField("rss_feed_id", T.StringType()), T.StructField("url", T.StringType()),
+                            T.StructField("added_at", T.TimestampType())])
+    content, counts = _schema("article_id", "content", "added_at"), _schema("article_id", "term", "count", "added_at")
+    by_url, by_article, by_term = tables.Layout(("url",), 4), tables.Layout(("article_id",), 4), tables.Layout(("article_id", "term"), 4)
+
+    def upstream(name: str, schema: T.StructType) -> DataFrame:
+        return spark.readStream.schema(schema).parquet(f"{root}/{name}")
+
+    made = docs.select(F.col("doc_id").alias("article_id"), F.col("source").alias("rss_feed_id"),
+                       F.concat(F.lit("https://"), "source", F.lit(".example.com/a/"), "doc_id").alias("url"), views.slot_time(F.col("doc_id")).alias("added_at"))
+    chain.chain(made, lambda batch: batch, f"{root}/article", article, ["url"], [F.col("added_at")], f"{root}/cp-article", by_url)
+    chain.stream_raw_pages(upstream("article", article), _story_pages(spark, folder).select("article_id", "status", "content"),
+                           f"{root}/rawcontent", content, f"{root}/cp-raw", by_article)
+    owners = lambda: tables.table_at(spark, f"{root}/article", article, by_url).select(F.col("article_id").alias("id"), "rss_feed_id")
+    chain.stream_parsed_pages(upstream("rawcontent", content), owners, _feeds(spark, folder), f"{root}/parsedcontent", content, f"{root}/cp-parsed",
+                              f"{root}/rejected", by_article)
+    chain.stream_term_counts(upstream("parsedcontent", content), f"{root}/termcount", counts, f"{root}/cp-counts", layout=by_term)
+    chain.stream_clusters(upstream("termcount", counts), lambda: tables.table_at(spark, f"{root}/termcount", counts, by_term), Panes(DAY, DAY),
+                          "threshold", {"threshold": THRESHOLD}, f"{root}/clusters", f"{root}/cp-clusters")
+    links = T.StructType([T.StructField("cluster_id", T.StringType()), T.StructField("article_id", T.LongType())])
+    return clusters.Clusters(*tables.cluster_tables(spark, f"{root}/clusters", (CLUSTER, links, CLUSTER_KEYWORD)))
+
+
+@query
+def chain_clusters(spark, folder):
+    """Documents come in two parts; the second changes windows that the first has filled already. The members after both."""
+    root = fresh_path(spark, "chain")
+    docs = table(spark, folder, "documents")
+    early = F.pmod("doc_id", F.lit(5)) < 3
+    for part in (early, ~early):
+        docs.filter(part).write.mode("append").parquet(f"{root}/documents")
+        found = _run_chain(spark, folder, root, spark.readStream.schema(docs.schema).parquet(f"{root}/documents"))
+    return shown(found.clusters.join(found.links, found.clusters["id"] == found.links["cluster_id"]), "id", *RUN, "article_id")

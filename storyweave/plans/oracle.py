@@ -277,3 +277,7 @@ ORACLE["window_scan_laid_out"] = ORACLE["window_scan_half_day"]
 ORACLE["windows_scan_laid_out"] = f"""WITH {TC}, asked AS (SELECT * FROM (VALUES (TIMESTAMP '2024-01-01 06:00:00', TIMESTAMP '2024-01-01 18:00:00'),
   (TIMESTAMP '2024-01-01 22:00:00', TIMESTAMP '2024-01-02 04:00:00')) v(wb, we))
   SELECT {BOUNDS}, article_id, term, cnt AS "count" FROM tc JOIN asked ON added_at BETWEEN wb AND we"""
+
+# Every tenth page has no container and so no terms.
+ORACLE["extract_by_feed"] = "SELECT doc_id AS article_id, text AS content FROM documents WHERE doc_id % 10 <> 0 AND text IS NOT NULL"
+ORACLE["chain_clusters"] = _members("1 DAY", "1 DAY").replace("FROM documents) GROUP BY ALL", "FROM documents WHERE doc_id % 10 <> 0) GROUP BY ALL")

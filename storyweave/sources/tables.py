@@ -117,6 +117,30 @@ def write_clusters(found, folder: str) -> None:
         append(rows.join(present.select(*keys), keys, "left_anti").select(*rows.columns), path)
 
 
+def replace_windows(found, windows: DataFrame, folder: str) -> None:
+    """Write the clusters of the listed windows in place of what the three tables hold of them; other windows are not touched.
+
+    The tables are laid out by window. Each listed window gets a row without an id, so one that has no cluster any more loses its old ones;
+    ``cluster_tables`` leaves these rows out. Repeating it gives the same tables.
+    """
+    def name(end: str) -> Column:
+        return F.date_format(end, "yyyyMMddHHmmss").alias("window")
+
+    of_cluster = found.clusters.select(F.col("id").alias("cluster_id"), name("end"))
+    marks = windows.select(name("end"))
+    for (table, _), rows in zip(CLUSTER_TABLES.items(), (found.clusters.withColumn("window", name("end")),
+                                                         found.links.join(of_cluster, "cluster_id"), found.keywords.join(of_cluster, "cluster_id"))):
+        every = staged(rows.unionByName(marks, allowMissingColumns=True), table)
+        every.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window").parquet(f"{folder}/{table}")
+
+
+def cluster_tables(spark: SparkSession, folder: str, schemas: tuple[T.StructType, ...]) -> list[DataFrame]:
+    """The cluster, link and keyword tables that ``replace_windows`` wrote."""
+    keys = [keys[0] for keys in CLUSTER_TABLES.values()]
+    return [table_at(spark, f"{folder}/{name}", schema).filter(F.col(key).isNotNull()).select(*schema.fieldNames())
+            for name, schema, key in zip(CLUSTER_TABLES, schemas, keys)]
+
+
 def latest_name(cluster_range: dict[str, int]) -> str:
     return f"latest_{format_range(cluster_range).replace(' ', '_')}.json"
 
