@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storyweave.functions.times import day_string, format_time, interval_eq
@@ -89,3 +89,31 @@ def prep_latest(gathered: DataFrame) -> DataFrame:
         c["topics"].alias("topics"), c["articles"].alias("articles"), c["source_count"].alias("source_count")))
     return gathered.agg(F.max("added_at").alias("added_at"), listed.alias("clusters")).select(
         F.struct(format_time(F.col("added_at")).alias("added_at"), "clusters").alias("document"))
+
+
+def document_lines(top: DataFrame, links: DataFrame, keywords: DataFrame, articles: DataFrame, sources: DataFrame) -> DataFrame:
+    """The document of ``prep_latest`` as ``(place, line)``: written in order of ``place`` the lines are one JSON object.
+
+    A member is a line of its own and no row holds a cluster; a cluster's first line has its topics, ten at most. ``top`` has the
+    few clusters of the report.
+    """
+    text = lambda column: F.to_json(column, {"ignoreNullFields": "false"})
+    order = Window.orderBy(F.desc("size"), "id")  # of the report's few clusters only
+    placed = top.select(F.col("id").alias("cluster_id"), "size", F.row_number().over(order).alias("rank"))
+    topic = F.struct((-F.col("weight")).alias("order"), "term", "weight")
+    wanted = placed.select("cluster_id")
+    topics = (keywords.join(wanted, "cluster_id", "left_semi").groupBy("cluster_id").agg(F.sort_array(F.collect_list(topic)).alias("t"))
+              .select("cluster_id", F.transform("t", lambda t: F.struct(t["term"].alias("term"), t["weight"].alias("weight"))).alias("topics")))
+    comma = lambda first: F.when(first, "").otherwise(",")
+    place = lambda rank, part, position: F.struct(rank.alias("rank"), F.lit(part).alias("part"), position.cast("long").alias("position")).alias("place")
+    rank, none = F.col("rank"), F.lit(0)
+    heads = placed.join(topics, "cluster_id", "left").select(place(rank, 0, none), F.concat(
+        comma(rank == 1), F.lit('{"source_count":'), "size", F.lit(',"topics":'), F.coalesce(text(F.col("topics")), F.lit("[]")), F.lit(',"articles":[')).alias("line"))
+    members = cluster_members(top, links, articles, sources).join(placed.select("cluster_id", "rank"), "cluster_id").select(
+        place(rank, 1, F.col("position")), F.concat(comma(F.col("position") == 1), text(F.struct("title", "url", "source", "date"))).alias("line"))
+    tails = placed.select(place(rank, 2, none), F.lit("]}").alias("line"))
+    added = top.agg(F.max("added_at").alias("added_at"))
+    moment = F.coalesce(F.concat(F.lit('"'), format_time(F.col("added_at")), F.lit('"')), F.lit("null"))
+    begin = added.select(place(F.lit(0), 0, none), F.concat(F.lit('{"added_at":'), moment, F.lit(',"clusters":[')).alias("line"))
+    end = added.select(place(F.lit((1 << 31) - 1), 2, none), F.lit("]}").alias("line"))
+    return begin.unionByName(heads).unionByName(members).unionByName(tails).unionByName(end)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from storyweave.functions import text, times
 from storyweave.functions.html import extract_container_text
-from storyweave.operators import articles, clusters, lookup, report, similarity, terms
+from storyweave.operators import articles, clusters, lookup, report, search, similarity, terms
 from storyweave.operators.windows import RUN, Panes, batch_scan, sliding_windows, window_scan, windows_scan
 from storyweave.plans import views
 from storyweave.plans.views import table
@@ -747,3 +747,73 @@ def chain_clusters(spark, folder):
         docs.filter(part).write.mode("append").parquet(f"{root}/documents")
         found = _run_chain(spark, folder, root, spark.readStream.schema(docs.schema).parquet(f"{root}/documents"))
     return shown(found.clusters.join(found.links, found.clusters["id"] == found.links["cluster_id"]), "id", *RUN, "article_id")
+
+
+# Searches, the document in lines, the stored log, registry files of every table
+
+@query
+def search_all_words(spark, folder):
+    """For each benchmark text the documents that hold its first three words, through a stored index."""
+    index = search.build_index(table(spark, folder, "documents"), "doc_id", ["text"], fresh_path(spark, "index"))
+    words = F.slice(text.tokenise(F.col("text")), 1, 3)
+    asked = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), F.array_join(words, " ").alias("words"))
+    return search.search(index, asked)
+
+
+@query
+def latest_document_lines(spark, folder):
+    """All members of the published document, read back from its one file."""
+    found, every, named, top = _latest(spark, folder)
+    top = staged(top, "top")
+    path = tables.publish_lines(report.document_lines(top, found.links, found.keywords, every, named), fresh_path(spark, "published"), {"days": 1})
+    member = "struct<title: string, url: string, source: string, date: string>"
+    shape = f"added_at string, clusters array<struct<source_count: long, topics: array<struct<term: string, weight: double>>, articles: array<{member}>>>"
+    read = spark.read.schema(shape).option("multiLine", True).json(path)
+    return read.select("added_at", F.posexplode("clusters").alias("place", "c")).select(
+        "added_at", "place", F.col("c.source_count").alias("source_count"), F.size("c.topics").alias("topics"),
+        F.posexplode("c.articles").alias("position", "a")).select("added_at", "place", "source_count", "topics", "position", "a.*")
+
+
+@query
+def append_search_log(spark, folder):
+    """The log of two runs in its stored table: one row per lookup and run."""
+    asked, hits, related = _lookup_run(spark, folder)
+    path = fresh_path(spark, "log")
+    for hour in (0, 1):
+        at = views.slot_time(F.col("query_id")) + F.make_dt_interval(hours=F.lit(hour))
+        tables.append_search_log(lookup.search_log(asked.withColumn("timestamp", at), hits, related), path)
+    return shown(spark.read.parquet(path).select("query_id", "timestamp", "status_code", "target_url", "client_id", "referer", "response_count"))
+
+
+def _registry_file(spark, rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a JSON array file, read back as a registry table."""
+    path = fresh_path(spark, name)
+    rows.agg(F.to_json(F.sort_array(F.collect_list(F.struct(*rows.columns)))).alias("value")).write.text(path)
+    return registry.load_registry(spark, path, name)
+
+
+@query
+def load_registry_feeds(spark, folder):
+    """Feeds of the sources, some with one selector and some with a list, and a key that no table has."""
+    one = F.concat(F.lit('{"id": "'), F.col("name"), F.lit('"}'))
+    config = F.when(F.col("id") < 5, F.concat(F.lit("["), one, F.lit(', {"class_": "story", "regex": true}]'))).otherwise(one)
+    rows = views.source(spark, folder).select(F.col("id").alias("source_id"), F.concat(F.lit("https://"), "name", F.lit(".example.com/feed")).alias("url"),
+                                              config.alias("parser_config"), F.lit("centre").alias("rating"))
+    feeds_ = _registry_file(spark, rows, "rssfeed")
+    return feeds_.select("id", "source_id", "url", "is_okay", F.posexplode("parser_config").alias("position", "s")).select(
+        "id", "source_id", "url", "is_okay", "position", F.col("s.id").alias("selector_id"), F.col("s.class_").alias("selector_class"))
+
+
+@query
+def load_registry_bias(spark, folder):
+    rows = views.source(spark, folder).select(F.col("id").alias("source_id"), F.lit("ALLSIDES").alias("type"),
+                                              F.element_at(F.array(F.lit("left"), F.lit("centre"), F.lit("right")), F.pmod("id", F.lit(3)).cast("int") + 1).alias("value"))
+    return _registry_file(spark, rows, "bias")
+
+
+@query
+def threshold_clusters_stop_words(spark, folder):
+    """Labels of every closed day from term counts without stop words."""
+    counts = terms.term_counts(views.parsedcontent(spark, folder), text.tokenizer(STOP_WORDS))
+    corpus = similarity.collapse_copies(terms.tfidf_vectors(sliding_windows(counts, DAY, DAY)))
+    return shown(clusters.label_members(corpus, clusters.threshold_components(corpus, THRESHOLD)))

@@ -281,3 +281,19 @@ ORACLE["windows_scan_laid_out"] = f"""WITH {TC}, asked AS (SELECT * FROM (VALUES
 # Every tenth page has no container and so no terms.
 ORACLE["extract_by_feed"] = "SELECT doc_id AS article_id, text AS content FROM documents WHERE doc_id % 10 <> 0 AND text IS NOT NULL"
 ORACLE["chain_clusters"] = _members("1 DAY", "1 DAY").replace("FROM documents) GROUP BY ALL", "FROM documents WHERE doc_id % 10 <> 0) GROUP BY ALL")
+
+_TOKENS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
+ORACLE["search_all_words"] = f"""WITH asked AS (SELECT item_id AS query_id, {_TOKENS}[1:3] AS words FROM benchmark), held AS (SELECT doc_id, {_TOKENS} AS tokens FROM documents)
+    SELECT query_id, doc_id FROM asked JOIN held ON list_has_all(tokens, words) WHERE len(words) > 0"""
+ORACLE["latest_document_lines"] = f"""{CLUSTERS}, ranked AS (SELECT *, row_number() OVER (ORDER BY size DESC, id) - 1 AS place FROM top)
+    SELECT strftime(we, '%Y-%m-%d %H:%M:%S.%f') || '+0000' AS added_at, place, size AS source_count, (SELECT count(*) FROM keywords WHERE cluster_id = ranked.id) AS topics,
+    row_number() OVER (PARTITION BY place ORDER BY added_at DESC, article_id) - 1 AS position, title, url, name AS source, strftime(added_at, '%d-%m-%Y') AS date
+    FROM ranked JOIN links ON ranked.id = cluster_id JOIN article USING (article_id) JOIN source ON source.id = source_id"""
+ORACLE["append_search_log"] = f"""{RELATED} SELECT query_id, {text_time(SLOT.format('query_id') + ' + h * INTERVAL 1 HOUR')} AS timestamp, CASE WHEN article_id IS NULL THEN 404 ELSE 200 END AS status_code,
+    url AS target_url, CAST(NULL AS VARCHAR) AS client_id, CAST(NULL AS VARCHAR) AS referer, response_count
+    FROM found LEFT JOIN responses USING (query_id), (VALUES (0), (1)) v(h)"""
+ORACLE["load_registry_feeds"] = """WITH f AS (SELECT DISTINCT CAST(substr(source, 4) AS INT) AS source_id, source, 'https://' || source || '.example.com/feed' AS url FROM documents)
+    SELECT sha256(url) AS id, source_id, url, true AS is_okay, 0 AS position, source AS selector_id, CAST(NULL AS VARCHAR) AS selector_class FROM f
+    UNION ALL SELECT sha256(url), source_id, url, true, 1, NULL, 'story' FROM f WHERE source_id < 5"""
+ORACLE["load_registry_bias"] = "SELECT DISTINCT CAST(substr(source, 4) AS INT) AS source_id, 'ALLSIDES' AS type, ['left', 'centre', 'right'][CAST(substr(source, 4) AS INT) % 3 + 1] AS value FROM documents"
+ORACLE["threshold_clusters_stop_words"] = ORACLE["threshold_clusters"].replace("FROM documents) GROUP BY ALL", f"FROM documents) WHERE term NOT IN ({STOPS}) GROUP BY ALL")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -154,3 +155,28 @@ def publish_json(report: DataFrame, folder: str, cluster_range: dict[str, int])
     path = f"{folder}/{latest_name(cluster_range)}"
     document_json(report).coalesce(1).write.mode("overwrite").text(path)
     return path
+
+
+def publish_lines(lines: DataFrame, folder: str, cluster_range: dict[str, int]) -> str:
+    """``document_lines`` as one file ``latest_<n>_<unit>.json``; the old document is there until the new one is written whole.
+
+    One task sorts and writes the lines, as one file must be; it holds no more than a sort does, and spills.
+    """
+    spark = lines.sparkSession
+    path, part = f"{folder}/{latest_name(cluster_range)}", f"{folder}/_publishing-{uuid.uuid4().hex}"
+    lines.repartition(1).sortWithinPartitions("place").select("line").write.text(part)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    files = path_of(part).getFileSystem(spark._jsc.hadoopConfiguration())
+    written = files.globStatus(path_of(f"{part}/part-*"))[0].getPath()
+    files.delete(path_of(path), True)
+    if not files.rename(written, path_of(path)):
+        raise OSError(f"could not move the document to {path}")
+    files.delete(path_of(part), True)
+    return path
+
+
+def append_search_log(log: DataFrame, path: str) -> int:
+    """Add the rows of ``search_log`` to the stored log, in folders by day of their ``timestamp``; gives the number of rows."""
+    batch = staged(log.withColumn("logged_on", F.to_date("timestamp")), "log")
+    batch.repartition("logged_on").write.mode("append").partitionBy("logged_on").parquet(path)
+    return rows_added(batch)
