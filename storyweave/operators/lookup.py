@@ -28,9 +28,9 @@ def _containing(missed: DataFrame, articles: DataFrame, sizes: list[int], held:
     spread = (listed.join(asked.select("gram").distinct(), "gram", "left_semi")
               .groupBy("gram").agg(F.count("*").alias("held")))
     # A substring no article holds settles a lookup at once: it is the rarest and joins nothing.
-    rarest = (asked.join(spread, "gram", "left").groupBy("query_id", "needle")
+    rarest = (asked.join(spread, "gram", "left").groupBy("needle")
               .agg(F.min_by("gram", F.struct(F.coalesce("held", F.lit(0)), "gram")).alias("gram")))
-    return rarest.join(listed, "gram").filter(held).select("query_id", "article_id", "article_url")
+    return rarest.join(listed, "gram").filter(held).select("needle", "article_id", "article_url")
 
 
 def find_article(queries: DataFrame, articles: DataFrame, like_semantics: bool = False) -> DataFrame:
@@ -41,13 +41,14 @@ def find_article(queries: DataFrame, articles: DataFrame, like_semantics: bool =
     ``like_semantics`` the signs ``%`` and ``_`` of a looked-up URL match anything, as in SQL's LIKE; substrings are
     then taken from its longest piece between such signs.
     """
-    asked = queries.select("query_id", strip_query(F.col("url")).alias("needle"))
+    # Looked-up URLs that are the same but for their query strings are one needle, searched once.
+    asked = queries.select(strip_query(F.col("url")).alias("needle")).filter("needle is not null").distinct()
     urls = articles.select("article_id", F.col("url").alias("article_url"))
     exact = (asked.join(urls, F.col("needle") == F.col("article_url"))
-             .select("query_id", "article_id", "article_url"))
+             .select("needle", "article_id", "article_url"))
     pieces = F.split("needle", "[%_]") if like_semantics else F.array("needle")
     longest = F.array_max(F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
-    missed = asked.join(exact.select("query_id"), "query_id", "left_anti").withColumn("piece", longest)
+    missed = asked.join(exact.select("needle"), "needle", "left_anti").withColumn("piece", longest)
     if like_semantics:
         pattern = F.concat(F.lit("%"), F.replace("needle", F.lit("\\"), F.lit("\\\\")), F.lit("%"))
         held = F.like(F.col("article_url"), pattern)
@@ -61,28 +62,42 @@ def find_article(queries: DataFrame, articles: DataFrame, like_semantics: bool =
     by_length = (urls.groupBy(F.length("article_url").alias("length"))
                  .agg(F.min(F.struct("article_url", "article_id")).alias("first")))
     any_match = (blank.join(by_length, F.col("length") >= F.col("least"))
-                 .select("query_id", "first.article_id", "first.article_url"))
-    found = (exact.unionByName(partial).unionByName(any_match).groupBy("query_id")
+                 .select("needle", "first.article_id", "first.article_url"))
+    found = (exact.unionByName(partial).unionByName(any_match).groupBy("needle")
              .agg(F.min_by("article_id", F.struct("article_url", "article_id")).alias("article_id")))
-    return queries.join(found, "query_id", "left").select("query_id", "url", "article_id")
+    told = queries.select("query_id", "url", strip_query(F.col("url")).alias("needle"))
+    return told.join(found, "needle", "left").select("query_id", "url", "article_id")
 
 
 def related_articles(found: DataFrame, clusters: DataFrame, links: DataFrame, articles: DataFrame,
                      sources: DataFrame, cluster_range: dict[str, int] | None = None) -> DataFrame:
     """``(query_id, url, date, title, source, added_at, article_id, position)``: the other articles sharing a
     cluster of the range (one day) with the found one, newest first."""
+    others = _others(found, clusters, links, cluster_range)
+    named = sources.select(F.col("id").alias("source_id"), F.col("name").alias("source"))
+    rows = (others.join(articles.select("article_id", "source_id", "url", "published_at", "title", "added_at"), "article_id")
+            .join(named, "source_id")
+            .select("asked", "url", F.col("published_at").alias("date"), "title", "source", "added_at", "article_id"))
+    placed = ranked(rows, ["asked"], [F.desc("added_at"), F.col("article_id")])
+    hits = found.filter("article_id is not null").select("query_id", F.col("article_id").alias("asked"))
+    return hits.join(placed, "asked").select("query_id", "url", "date", "title", "source", "added_at", "article_id", "position")
+
+
+def _others(found: DataFrame, clusters: DataFrame, links: DataFrame, cluster_range: dict[str, int] | None = None) -> DataFrame:
+    """``(asked, article_id)``: for each article found, once however many lookups found it, the others of its clusters of the range."""
     daily = clusters.filter(interval_eq(F.col("begin"), F.col("end"), cluster_range or {"days": 1})).select(
         F.col("id").alias("cluster_id"))
     of_day = links.join(daily, "cluster_id", "left_semi")
+    asked = found.filter("article_id is not null").select(F.col("article_id").alias("asked")).distinct()
+    mine = asked.join(of_day.withColumnRenamed("article_id", "asked"), "asked")
+    return mine.join(of_day, "cluster_id").filter("article_id <> asked").select("asked", "article_id").distinct()
+
+
+def related_counts(found: DataFrame, clusters: DataFrame, links: DataFrame, cluster_range: dict[str, int] | None = None) -> DataFrame:
+    """``response_count`` straight from the clusters: counted for each article found, without listing or ranking what is related."""
+    counts = _others(found, clusters, links, cluster_range).groupBy("asked").agg(F.count("*").alias("response_count"))
     hits = found.filter("article_id is not null").select("query_id", F.col("article_id").alias("asked"))
-    mine = hits.join(of_day.withColumnRenamed("article_id", "asked"), "asked")
-    others = (mine.join(of_day, "cluster_id").filter("article_id <> asked")
-              .select("query_id", "article_id").distinct())
-    named = sources.select(F.col("id").alias("source_id"), F.col("name").alias("source"))
-    rows = (others.join(articles.select("article_id", "source_id", "url", "published_at", "title", "added_at"), "article_id")
-            .join(named, "source_id")
-            .select("query_id", "url", F.col("published_at").alias("date"), "title", "source", "added_at", "article_id"))
-    return ranked(rows, ["query_id"], [F.desc("added_at"), F.col("article_id")])
+    return hits.join(counts, "asked", "left").select("query_id", F.coalesce("response_count", F.lit(0).cast("long")).alias("response_count"))
 
 
 def response_count(found: DataFrame, related: DataFrame) -> DataFrame:

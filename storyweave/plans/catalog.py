@@ -817,3 +817,35 @@ def threshold_clusters_stop_words(spark, folder):
     counts = terms.term_counts(views.parsedcontent(spark, folder), text.tokenizer(STOP_WORDS))
     corpus = similarity.collapse_copies(terms.tfidf_vectors(sliding_windows(counts, DAY, DAY)))
     return shown(clusters.label_members(corpus, clusters.threshold_components(corpus, THRESHOLD)))
+
+
+@query
+def related_counts(spark, folder):
+    """The number of related articles of each lookup, without listing them."""
+    found = daily_clusters(spark, folder)
+    hits = lookup.find_article(_lookups(spark, folder), views.article(spark, folder))
+    return lookup.related_counts(hits, found.clusters, found.links)
+
+
+@query
+def find_repeated(spark, folder):
+    """Home pages and repeated addresses: each is looked for once, however often it is asked for."""
+    every = views.article(spark, folder)
+    home = every.select((F.col("article_id") * 2).alias("query_id"), F.concat(F.substring_index("url", "/a/", 1), F.lit("?page="), "article_id").alias("url"))
+    again = every.select((F.col("article_id") * 2 + 1).alias("query_id"), F.concat(F.lit("src1.example.com/a/"), F.pmod("article_id", F.lit(7))).alias("url"))
+    return lookup.find_article(home.unionByName(again), every)
+
+
+@query
+def parse_rdf_entries(spark, folder):
+    """Entries of RSS 1.0 bodies, with names of characters that HTML knows and XML does not."""
+    day = F.date_format(views.slot_time(F.col("doc_id")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    body = F.concat(
+        F.lit('<?xml version="1.0"?><rdf:RDF xmlns="http://purl.org/rss/1.0/" xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#"'
+              ' xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><title>'), "source", F.lit("</title></channel><item><title>Caf&eacute;&nbsp;"), "doc_id",
+        F.lit(" &amp; &unknown;</title><link>https://example.com/"), "doc_id", F.lit("</link><description>&euro; "), "n_chars",
+        F.lit("</description><dc:date>"), day, F.lit("</dc:date><dc:creator>"), "lang", F.lit("</dc:creator></item></rdf:RDF>"))
+    bodies = table(spark, folder, "documents").select(
+        F.col("doc_id").cast("string").alias("rss_feed_id"), F.substring("source", 4, 10).cast("int").alias("source_id"),
+        F.lit("https://x.example.com/feed").alias("url"), F.lit(200).alias("status"), body.alias("body"))
+    return feeds.flatten_entries(feeds.parse_feed_xml(bodies).feeds)

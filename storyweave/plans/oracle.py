@@ -297,3 +297,10 @@ ORACLE["load_registry_feeds"] = """WITH f AS (SELECT DISTINCT CAST(substr(source
     UNION ALL SELECT sha256(url), source_id, url, true, 1, NULL, 'story' FROM f WHERE source_id < 5"""
 ORACLE["load_registry_bias"] = "SELECT DISTINCT CAST(substr(source, 4) AS INT) AS source_id, 'ALLSIDES' AS type, ['left', 'centre', 'right'][CAST(substr(source, 4) AS INT) % 3 + 1] AS value FROM documents"
 ORACLE["threshold_clusters_stop_words"] = ORACLE["threshold_clusters"].replace("FROM documents) GROUP BY ALL", f"FROM documents) WHERE term NOT IN ({STOPS}) GROUP BY ALL")
+ORACLE["related_counts"] = ORACLE["response_count"]
+ORACLE["find_repeated"] = f"""WITH {ARTICLE}, asked AS (SELECT article_id * 2 AS query_id, split_part(url, '/a/', 1) || '?page=' || article_id AS url FROM article
+    UNION ALL SELECT article_id * 2 + 1, 'src1.example.com/a/' || article_id % 7 FROM article),
+  hit AS (SELECT needle, arg_min(article_id, article.url) AS article_id FROM (SELECT DISTINCT split_part(url, '?', 1) AS needle FROM asked) JOIN article ON contains(article.url, needle) GROUP BY needle)
+  SELECT query_id, url, article_id FROM asked LEFT JOIN hit ON split_part(asked.url, '?', 1) = needle"""
+ORACLE["parse_rdf_entries"] = f"""SELECT CAST(doc_id AS VARCHAR) AS rss_feed_id, CAST(substr(source, 4) AS INT) AS source_id, 'Caf' || chr(233) || chr(160) || doc_id || ' & &unknown;' AS title,
+    chr(8364) || ' ' || n_chars AS summary, strftime({AT}, '%Y-%m-%dT%H:%M:%SZ') AS published, 'https://example.com/' || doc_id AS link, lang AS author FROM documents"""

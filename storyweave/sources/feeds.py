@@ -27,8 +27,11 @@ ENTITIES = ("nbsp", "copy", "reg", "trade", "hellip", "mdash", "ndash", "lsquo",
 
 
 def _without_entities(body: Column) -> Column:
+    told = body
     for name in ENTITIES:
-        body = F.replace(body, F.lit(f"&{name};"), F.lit(chr(name2codepoint[name])))
+        told = F.replace(told, F.lit(f"&{name};"), F.lit(chr(name2codepoint[name])))
+    # Most bodies have none of these names: one look saves them a pass for each.
+    body = F.when(body.rlike("&(?!(?:amp|lt|gt|quot|apos);)[a-z]+;"), told).otherwise(body)
     return F.regexp_replace(body, r"&(?!(?:amp|lt|gt|quot|apos|#\d+|#x[0-9A-Fa-f]+);)", "&amp;")
 
 
