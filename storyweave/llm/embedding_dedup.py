@@ -10,13 +10,15 @@ Centroids and codebooks are fitted on the ``SAMPLE`` vectors with the smallest h
 indexed. Equal vectors are one node that counts its copies. Lists are cut into blocks of ``BLOCK``, so a list that
 holds a third of all vectors is many tasks; a task writes a count per node and a spanning forest of its links, not its pairs.
 
-Vectors that are null, zero, or hold a null or non-finite component link with nothing, as do vectors whose length differs from the
-commonest (of equally common the largest). Rows with a null vec_id link with nothing and name no group. Rows that repeat a vec_id are
+Vectors that are null, zero, or hold a null or non-finite component link with nothing. Vectors of different lengths do not link; each
+length there is has an index of its own. Rows with a null vec_id link with nothing and name no group. Rows that repeat a vec_id are
 vectors of their own. An empty table gives an empty table; only vec_id and embedding are read, never labels.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -219,18 +221,17 @@ def groups(vectors: DataFrame, threshold: float = THRESHOLD, probes: int = PROBE
               .groupBy("v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies")))
     # Numbered once and written, so that a node keeps its number.
     nodes = staged(copies.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", F.size("v")), "nodes")
-    common = nodes.groupBy("dim").agg(F.sum("copies").alias("n"), F.count("*").alias("nodes")).orderBy(F.desc("n"), F.desc("dim")).first()
-    if common is None:
+    lengths = nodes.groupBy("dim").agg(F.count("*").alias("nodes")).orderBy("dim").collect()
+    if not lengths:
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").cast("bigint").alias("component_id"),
                            F.col("vec_id").isNotNull().alias("kept"))
-    same = nodes.filter(F.col("dim") == common["dim"])
-    found = staged(links(same, common["dim"], common["nodes"], threshold, probes, per_list, sample, block), "links")
+    parts = [staged(links(nodes.filter(F.col("dim") == dim), dim, n, threshold, probes, per_list, sample, block), "links") for dim, n in lengths]
+    found = reduce(DataFrame.union, parts)
     counted = found.filter("links is not null").groupBy("node").agg(F.sum("links").alias("far"))
     grouped = components(found.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
-    own = F.when(F.col("dim") == common["dim"], F.col("copies") - 1).otherwise(0)
-    known = (nodes.join(counted, "node", "left").join(grouped, "node", "left")
-             .withColumn("n_links", (own + F.coalesce("far", F.lit(0))).cast("bigint")))
-    linked = known.filter(F.col("dim") == common["dim"]).withColumn("component", F.coalesce("component", "node"))
+    linked = (nodes.join(counted, "node", "left").join(grouped, "node", "left")
+              .withColumn("n_links", (F.col("copies") - 1 + F.coalesce("far", F.lit(0))).cast("bigint"))
+              .withColumn("component", F.coalesce("component", "node")))
     names = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     of_vector = linked.join(names, "component").select(F.col("v").alias("of"), "n_links", "component_id")
     out = rows.withColumn("key", F.transform("v", lambda x: x + F.lit(0.0))).join(of_vector, F.col("key") == F.col("of"), "left")

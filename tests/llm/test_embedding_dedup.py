@@ -69,3 +69,14 @@ def test_repeated_and_null_ids(spark):
 
 def test_table(spark):
     assert queries.QUERIES["op7_embedding_dedup"](spark, "/root/testdata/sf0.001").filter("n_links < 0").count() == 0
+
+
+def test_every_length_links(spark):
+    rows = planted(seed=4, n=120, dim=8)[:260] + [(1000 + i, v[:5]) for i, v in planted(seed=5, n=60, dim=8)[:150]] + [(2000, [2.0]), (2001, [1.0]), (2002, [-1.0] * 3)]
+    want = {}
+    for size in (8, 5, 1, 3):
+        own = [r for r in rows if len(r[1]) == size]
+        _, counts, label = brute(own)
+        want |= {own[k][0]: (counts[k], own[label[k]][0], label[k] == k) for k in range(len(own))}
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.groups(vectors(spark, rows), probes=64, per_list=50).collect()}
+    assert got == want and sum(n > 0 for n, _, _ in want.values()) > 100
