@@ -228,10 +228,12 @@ def groups(vectors: DataFrame, threshold: float = THRESHOLD, probes: int = PROBE
     parts = [staged(links(nodes.filter(F.col("dim") == dim), dim, n, threshold, probes, per_list, sample, block), "links") for dim, n in lengths]
     found = reduce(DataFrame.union, parts)
     counted = found.filter("links is not null").groupBy("node").agg(F.sum("links").alias("far"))
-    grouped = components(found.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
-    linked = (nodes.join(counted, "node", "left").join(grouped, "node", "left")
+    # Hashes of the numbers, each its own: numbered at random, a chain of near vectors takes few rounds.
+    grouped = components(found.filter("other is not null").select(F.xxhash64("node").alias("a"), F.xxhash64("other").alias("b")))
+    linked = (nodes.withColumn("own", F.xxhash64("node")).join(counted, "node", "left")
+              .join(grouped.withColumnRenamed("node", "own"), "own", "left")
               .withColumn("n_links", (F.col("copies") - 1 + F.coalesce("far", F.lit(0))).cast("bigint"))
-              .withColumn("component", F.coalesce("component", "node")))
+              .withColumn("component", F.coalesce("component", "own")))
     names = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     of_vector = linked.join(names, "component").select(F.col("v").alias("of"), "n_links", "component_id")
     out = rows.withColumn("key", F.transform("v", lambda x: x + F.lit(0.0))).join(of_vector, F.col("key") == F.col("of"), "left")

@@ -100,9 +100,9 @@ def _knapsack(lengths: np.ndarray, left: np.ndarray, budget: int) -> np.ndarray:
     return taken
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, copies)`` of each row; a row takes ``copies`` times its size."""
-    sizes = staged(docs.select("doc_id", "source", words().alias("size")), "sizes")
+def _taken(docs: DataFrame, weights: tuple[int, ...], seed: int) -> DataFrame:
+    """What ``mix`` returns, with ``text_hash`` beside it."""
+    sizes = staged(docs.select("doc_id", "source", words().alias("size"), F.xxhash64("text").alias("text_hash")), "sizes")
     sources = targets(sizes, weights).withColumnRenamed("source", "of")
     known = staged(sizes.join(sources, sizes["source"].eqNullSafe(F.col("of"))).drop("of"), "sized")
 
@@ -116,18 +116,25 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -
     # One row per source and length: the lengths of a source differ, so they grow at most as the root of its words.
     by_length = known.groupBy("place", "size").agg(F.count("*").alias("n"), F.first("target").alias("target"), F.first("source_size").alias("source_size"))
     plan = by_length.groupBy("place").applyInPandas(fitted, "place int, size bigint, whole bigint, some bigint")
-    ordered = ranked(known.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id")), ["place", "size"], [F.col("draw"), F.col("doc_id")], "nth")
+    ordered = ranked(known.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id")), ["place", "size"], [F.col("draw"), F.col("doc_id"), F.col("text_hash")], "nth")
     return (ordered.join(staged(plan, "plan"), ["place", "size"])
             .withColumn("copies", F.col("whole") + (F.col("nth") <= F.col("some")).cast("bigint"))
-            .select("doc_id", "source", "size", "source_size", "target", "copies"))
+            .select("doc_id", "source", "size", "text_hash", "source_size", "target", "copies"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
+    """``(doc_id, source, size, source_size, target, copies)`` of each row; a row takes ``copies`` times its size."""
+    return _taken(docs, weights, seed).drop("text_hash")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """The documents that the mix takes, with their columns, a row for each time. Rows alike in doc_id, source and size
-    count as one text that is taken as often as all of them; rows with a null doc_id are left out, as nothing tells them apart."""
-    taken = (mix(docs, weights, seed).filter("copies > 0 and doc_id is not null").groupBy("doc_id", "source", "size")
-             .agg(F.sum("copies").alias("copies_")))
-    sized = docs.withColumn("size_", words()).dropDuplicates(["doc_id", "source", "size_"])
-    found = sized.join(taken.select(F.col("doc_id").alias("doc_"), F.col("source").alias("source_"), F.col("size").alias("of_size_"), "copies_"),
-                       (F.col("doc_id") == F.col("doc_")) & F.col("source").eqNullSafe(F.col("source_")) & (F.col("size_") == F.col("of_size_")))
-    return found.withColumn("nth_", F.explode(F.sequence(F.lit(1), F.col("copies_").cast("int")))).select(*docs.columns)
+    """The documents that the mix takes, with their columns, a row for each time, those with a null doc_id too. Rows alike in
+    doc_id, source and text count as one that is taken as often as all of them."""
+    taken = (_taken(docs, weights, seed).filter("copies > 0").groupBy("doc_id", "source", "text_hash")
+             .agg(F.sum("copies").cast("int").alias("copies")))
+    # Within one struct, the input's columns can have any names.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = (whole.select("row", F.col("row.doc_id").alias("doc"), F.col("row.source").alias("of"), F.xxhash64("row.text").alias("key"))
+            .dropDuplicates(["doc", "of", "key"]))
+    same = F.col("doc").eqNullSafe(F.col("doc_id")) & F.col("of").eqNullSafe(F.col("source")) & (F.col("key") == F.col("text_hash"))
+    return rows.join(taken, same).select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -131,19 +131,34 @@ def forest(left: np.ndarray, right: np.ndarray, radius: int, rows: int = 256) ->
     return np.array(kept, np.uint64).reshape(-1, 2)
 
 
-def groups(docs: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """``(doc_id, bits, component_id)`` of each row."""
+def _grouped(docs: DataFrame, radius: int, tile: int) -> DataFrame:
+    """``(doc_id, bits, node, least)`` of each row: the fingerprint, a number of its group, the group's smallest doc_id."""
     rows = staged(fingerprints(docs), "fingerprints")
     nodes = rows.groupBy("bits").agg(F.min("doc_id").alias("least"))
-    found = components(links(nodes.select("bits"), radius, tile)).select(F.col("node").alias("bits"), "component")
-    named = nodes.join(found, "bits", "left").select("bits", "least", F.coalesce("component", "bits").alias("component"))
-    labels = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Hashes in place of the fingerprints: numbered at random, a chain of near ones takes few rounds; different longs have different hashes.
+    edges = links(nodes.select("bits"), radius, tile).select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b"))
+    named = (nodes.withColumn("own", F.xxhash64("bits")).join(components(edges).withColumnRenamed("node", "own"), "own", "left")
+             .select("bits", "least", F.coalesce("component", "own").alias("node")))
+    labels = named.groupBy("node").agg(F.min("least").alias("least"))
     # One row per fingerprint on the other side, so a frequent fingerprint's rows can be split.
-    return rows.join(named.join(labels, "component").select("bits", "component_id"), "bits").select("doc_id", "bits", "component_id")
+    return rows.join(named.drop("least").join(labels, "node"), "bits")
+
+
+def groups(docs: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """``(doc_id, bits, component_id)`` of each row."""
+    return _grouped(docs, radius, tile).select("doc_id", "bits", F.col("least").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The documents whose doc_id names their group, one row each; rows with a null doc_id stay."""
-    stay = groups(docs, radius).filter("doc_id = component_id").select("doc_id").distinct()
-    found = docs.filter("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return found.unionByName(docs.filter("doc_id is null"))
+    """One row of each group, with its columns: of those of the group's smallest doc_id the one of the smallest text.
+
+    Rows that repeat a doc_id with texts of different groups stay for each group. Rows with a null doc_id stay, all of them.
+    """
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    known = whole.select("row", F.col("row.doc_id").alias("doc"), F.xxhash64("row.text").alias("text_hash"))
+    # A document is named by its number and its text's hash here: the fingerprint passes any kind of doc_id through.
+    keyed = docs.filter("doc_id is not null").select(F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("doc_id"), "text")
+    first = (_grouped(keyed, radius, TILE).filter("doc_id = least").select("doc_id").distinct()
+             .select(F.col("doc_id.doc_id").alias("doc"), F.col("doc_id.text_hash").alias("text_hash")))
+    found = known.filter("doc is not null").join(first, ["doc", "text_hash"], "left_semi").dropDuplicates(["doc", "text_hash"])
+    return found.select("row.*").unionByName(docs.filter("doc_id is null"))

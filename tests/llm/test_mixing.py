@@ -92,3 +92,12 @@ def test_subset_sums(counts, part, limit):
         assert abs(int((taken * lengths).sum()) - budget) <= min(abs(r - rest) for r in left if r <= rest)
     else:
         assert abs(int((taken * lengths).sum()) - budget) <= lengths.max()
+
+
+def test_repeated_and_null_numbers_keep_their_texts(spark):
+    """One source, so all is taken: each text as often as it came, whatever its doc_id."""
+    rows = [(1, "aa bb cc"), (1, "dd ee ff"), (1, "aa bb cc"), (None, "gg hh ii"), (None, "jj kk ll"), (2, "mm")]
+    table = docs(spark, rows).selectExpr("*", "'x' as size_", "'x' as copies_", "'x' as doc_", "'x' as row", "'x' as key", "'x' as text_hash")
+    out = mixing.mixed_documents(table)
+    assert out.columns == table.columns
+    assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == sorted((d or 0, t) for d, t in rows)

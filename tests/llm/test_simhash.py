@@ -58,3 +58,11 @@ def test_odd_rows(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 3, 6, 7, 9]
     assert kept.filter("doc_id is null").count() == 2
     assert simhash.groups(docs(spark, [])).count() == 0 and simhash.keep_one(docs(spark, [])).count() == 0
+
+
+def test_a_number_with_texts_of_different_groups_keeps_one_of_each(spark):
+    """Rows that share a doc_id are told apart by their texts; null numbers stay."""
+    first, second = "one text about the sea and its many ships", "quite another story of hills, woods and old towns by the road"
+    rows = [(2, first), (2, second), (2, first), (3, second), (4, first), (None, first), (None, first)]
+    out = sorted(((r.doc_id or 0, r.text) for r in simhash.keep_one(docs(spark, rows)).collect()))
+    assert out == sorted([(2, first), (2, second), (0, first), (0, first)])
