@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from storyweave.operators import lookup, report
 from storyweave.operators.clusters import Clusters
+from storyweave.plans import catalog
 from storyweave.sources import tables
 from storyweave.streaming import chain
 
@@ -192,3 +193,15 @@ def test_rows_without_title_or_source_are_like_no_other(spark):
     df = spark.createDataFrame([("a", None, 1, "2024-01-01"), ("b", None, 1, "2024-01-02"), ("c", "t", None, "2024-01-01"), ("d", "t", 1, "2024-01-01")],
                                "url string, title string, source_id int, day string").select("url", "title", "source_id", F.col("day").cast("timestamp").alias("added_at"))
     assert {r.url for r in fresh_titles(df, df.limit(0), timedelta(days=9)).collect()} == {"a", "b", "c", "d"}
+
+
+@pytest.mark.parametrize("files", [0, 3])
+def test_documents_in_one_file_or_a_folder_of_files_are_a_stream(spark, tmp_path, files):
+    docs = spark.createDataFrame([(i, f"storm coast w{i}", "en", "src1", 12) for i in range(9)], "doc_id long, text string, lang string, source string, n_chars long")
+    if files:
+        docs.repartition(files).write.parquet(str(tmp_path / "documents.parquet"))
+    else:
+        docs.toPandas().to_parquet(tmp_path / "documents.parquet")
+    got = sorted(catalog.QUERIES["stream_term_counts"](spark, str(tmp_path)).collect())
+    assert got == sorted((i, term, 1) for i in range(9) for term in ("storm", "coast", f"w{i}"))
+    assert catalog.QUERIES["stream_dedupe_titles"](spark, str(tmp_path)).count() == 9
