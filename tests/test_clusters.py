@@ -343,3 +343,43 @@ def test_two_windows_in_one_run_and_a_custom_method(spark):
     clusters.register_method("all_in_one", lambda corpus, **_: corpus.reps.select(
         *RUN, "article_id", F.lit("000").alias("label")))
     assert clusters.cluster_articles(both, "all_in_one").clusters.count() == 2
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_windows_weighed_in_tasks_or_by_joins_are_the_same(spark, monkeypatch):
+    counts = counts_of(spark, random_docs(6)).unionByName(counts_of(spark, random_docs(7)).withColumn("end", F.lit("2030-01-01").cast("timestamp")).limit(200))
+    told = lambda: sorted((str(r.end), r.article_id, r.term, r["count"], round(r.weight, 9)) for r in terms.explode_vectors(terms.tfidf_vectors(counts)).collect())
+    in_tasks = told()
+    assert "Join Inner" not in plan_of(terms.tfidf_vectors(counts))  # no frequencies are shuffled
+    for rows in (0, 200):
+        monkeypatch.setattr(terms, "WINDOW_ROWS", rows)
+        assert told() == in_tasks
+
+
+def test_tokens_are_counted_where_they_are(spark):
+    rows = [(1, "storm storm Coast"), (2, None), (3, ""), (4, "b a"), (4, "a"), (None, "x x"), (None, "x")]
+    docs = spark.createDataFrame(rows, "article_id int, content string").withColumn("added_at", F.lit("2024-01-01").cast("timestamp"))
+    got = terms.term_counts(docs.filter("article_id < 4"))
+    assert "Exchange hashpartitioning(article_id" not in plan_of(got)
+    assert {tuple(r)[:3] for r in terms.term_counts(docs).collect()} == {(1, "storm", 2), (1, "coast", 1), (4, "a", 2), (4, "b", 1), (None, "x", 3)}
+
+
+def test_small_blocks_of_a_window_stay_in_one_task(spark, monkeypatch):
+    reps, small = corpus_of(spark, random_docs(5)).reps, Limits(block_postings=150, block_articles=16)
+    assert similarity.block_copies(reps, 0.3, small).select("lo", "hi").distinct().count() == 1
+    found = lambda keep: sorted(similarity.edges(reps, 0.3, keep, small).collect())
+    pairs, near = found("pairs"), sorted(similarity.degrees(reps, 0.3, small).collect())
+    assert pairs == sorted(similarity.edges(reps, 0.3, "pairs").collect())
+    monkeypatch.setattr(similarity, "TASK_BLOCKS", 1)
+    assert similarity.block_copies(reps, 0.3, small).select("lo", "hi").distinct().count() > 1
+    assert found("pairs") == pairs and sorted(similarity.degrees(reps, 0.3, small).collect()) == near
+
+
+def test_windows_bisected_in_tasks_or_by_joins_are_the_same(spark):
+    corpus = corpus_of(spark, random_docs(8))
+    cut = lambda limits: sorted(clusters.fixed_k_clusters(corpus, 3, limits=limits).collect())
+    assert "FlatMapGroupsInArrow" in plan_of(clusters.fixed_k_clusters(corpus, 3))
+    assert cut(Limits()) == cut(Limits(block_articles=1))
