@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storyweave.functions.html import container_text
-from storyweave.operators import clusters, terms
+from storyweave.operators import clusters, similarity, terms
 from storyweave.operators.windows import RUN, Panes, sliding_windows, window_scan, windows_scan
 from storyweave.sources import tables
 from storyweave.streaming import chain
@@ -162,3 +162,26 @@ def test_chain_to_clusters_and_a_replay(spark, tmp_path):
     assert {r.article_id for r in both.select("article_id").distinct().collect()} == set(range(12)) - {6, 7}
     run(root, str(tmp_path / "again"))
     assert state(root) == done
+
+
+@pytest.mark.parametrize("hours,slide", [(12, 4), (5, 1)])
+def test_neighbouring_windows_in_a_task_give_the_clusters_of_single_ones(spark, monkeypatch, hours, slide):
+    rng = random.Random(hours)
+    found = []
+    for i in range(80):
+        at, words = datetime(2024, 1, 1) + timedelta(minutes=30 * rng.randrange(96)), sorted(set(rng.choices("abcdefghij", k=3)))
+        found += [(i if i else None, t, rng.randrange(0, 3) if i % 7 else 0, at) for t in words]
+    counts = spark.createDataFrame(found, "article_id int, term string, count long, added_at timestamp")
+
+    def told():
+        got = clusters.cluster_sliding(counts, timedelta(hours=hours), timedelta(hours=slide), "threshold", {"threshold": 0.6})
+        words = sorted((r.cluster_id, r.term, round(r.weight, 9)) for r in got.keywords.collect())
+        return sorted(got.clusters.collect()), sorted(map(str, got.links.collect())), words
+
+    together = told()
+    assert together[1]
+    parts = similarity.sliding_links(counts, Panes(timedelta(hours=hours), timedelta(hours=slide)), 0.6, similarity.Limits(block_articles=3))
+    assert parts.count() > 0
+    monkeypatch.setattr(similarity, "STRETCH_ROWS", 0)
+    assert similarity.sliding_links(counts, Panes(timedelta(hours=hours), timedelta(hours=slide)), 0.6) is None
+    assert told() == together
