@@ -383,3 +383,20 @@ def test_windows_bisected_in_tasks_or_by_joins_are_the_same(spark):
     cut = lambda limits: sorted(clusters.fixed_k_clusters(corpus, 3, limits=limits).collect())
     assert "FlatMapGroupsInArrow" in plan_of(clusters.fixed_k_clusters(corpus, 3))
     assert cut(Limits()) == cut(Limits(block_articles=1))
+
+
+def test_windows_of_few_edges_need_no_rounds(spark, monkeypatch):
+    """Two windows with ties, a chain and a repeated edge: a task each finds the forest and labels that rounds of joins find."""
+    rng = random.Random(5)
+    rows = [(w, f"{a:02d}", f"{b:02d}", rng.choice([0.5, 0.6, 0.7])) for w in (1, 2) for a, b in itertools.combinations(range(14), 2) if rng.random() < 0.12]
+    rows += [(2, f"{i:02d}", f"{i + 1:02d}", 0.4) for i in range(40, 60)] + [rows[0], rows[0]]
+    edges = spark.createDataFrame(rows, "w int, a string, b string, cosine double").select(
+        F.timestamp_seconds("w").alias("begin"), F.timestamp_seconds(F.col("w") + 1).alias("end"), "a", "b", "cosine")
+    found = lambda: [sorted(map(tuple, part.collect())) for part in spanning_forest(edges)]
+    monkeypatch.setattr("storyweave.operators.graph.WINDOW_EDGES", 0)
+    want = found()
+    monkeypatch.setattr("storyweave.operators.graph.WINDOW_EDGES", 25)
+    assert found() == want  # one window by rounds, one in a task
+    monkeypatch.undo()
+    monkeypatch.setattr("storyweave.operators.graph.checkpointed", None)
+    assert found() == want and len(want[0]) < len(rows)
