@@ -10,21 +10,25 @@ from storyweave.functions.times import interval_eq
 from storyweave.operators.ranking import ranked
 
 GRAM = 12
+STEP = 4  # from one substring that a lookup offers to the next: what is rare in at most GRAM - STEP + 1 letters lies in one of them whole
 
 
-def _grams(url: Column, size: Column) -> Column:
-    places = F.when(F.length(url) >= size, F.sequence(F.lit(1), F.length(url) - size + 1))
+def _grams(url: Column, size: Column, step: int = 1) -> Column:
+    """The different substrings of a size that begin at every ``step``-th letter, and the last one."""
+    last = F.length(url) - size + 1
+    places = F.when(last >= 1, F.concat(F.sequence(F.lit(1), last, F.lit(step)), F.array(last)) if step > 1 else F.sequence(F.lit(1), last))
     return F.array_distinct(F.transform(places, lambda i: F.substring(url, i, size)))
 
 
 def _containing(missed: DataFrame, articles: DataFrame, sizes: list[int], held: Column) -> DataFrame:
     """Lookups joined to the articles holding them. Each lookup is represented by the rarest substring of its
-    piece; counting needs one row per substring and task, and the join only sees the rare ones."""
+    piece, of those it offers; an article that holds the piece holds all of them. Counting needs one row per substring and task, and the
+    join only sees the rare ones."""
     cuts = F.flatten(F.array(*[_grams(F.col("article_url"), F.lit(n)) for n in sizes]))
     listed = articles.select("article_id", F.col("url").alias("article_url")).withColumn(
         "gram", F.explode(F.filter(cuts, lambda g: g.isNotNull())))
     size = F.least(F.length("piece"), F.lit(GRAM))
-    asked = missed.withColumn("gram", F.explode(_grams(F.col("piece"), size)))
+    asked = missed.withColumn("gram", F.explode(_grams(F.col("piece"), size, STEP)))
     spread = (listed.join(asked.select("gram").distinct(), "gram", "left_semi")
               .groupBy("gram").agg(F.count("*").alias("held")))
     # A substring no article holds settles a lookup at once: it is the rarest and joins nothing.
@@ -56,7 +60,10 @@ def find_article(queries: DataFrame, articles: DataFrame, like_semantics: bool =
         held = F.col("article_url").contains(F.col("needle"))
     partial = _containing(missed.filter(F.length("piece") >= GRAM), articles, [GRAM], held)
     short = missed.filter(F.length("piece").between(1, GRAM - 1))
-    partial = partial.unionByName(_containing(short, articles, list(range(1, GRAM)), held))
+    # Articles are only cut to the sizes that short pieces have: GRAM - 1 numbers at most go through the driver.
+    sizes = sorted(r[0] for r in short.select(F.length("piece")).distinct().collect())
+    if sizes:
+        partial = partial.unionByName(_containing(short, articles, sizes, held))
     # Nothing but signs, or nothing at all, asks for a length only; one article per length answers it.
     blank = missed.filter(F.length("piece") == 0).withColumn("least", F.length(F.replace("needle", F.lit("%"), F.lit(""))))
     by_length = (urls.groupBy(F.length("article_url").alias("length"))

@@ -205,3 +205,45 @@ def test_documents_in_one_file_or_a_folder_of_files_are_a_stream(spark, tmp_path
     got = sorted(catalog.QUERIES["stream_term_counts"](spark, str(tmp_path)).collect())
     assert got == sorted((i, term, 1) for i in range(9) for term in ("storm", "coast", f"w{i}"))
     assert catalog.QUERIES["stream_dedupe_titles"](spark, str(tmp_path)).count() == 9
+
+
+def test_lookups_offer_few_substrings_and_find_all(spark):
+    """Pieces of every length and place; only every few letters a substring is offered, and still the last."""
+    urls = [f"https://src{i % 3}.example.com/a/{i}-{'xyz'[i % 3] * (i % 5)}é{i * 37 % 101}" for i in range(12)]
+    pieces = sorted({u[at:at + n] for u in urls for n in (1, 5, 11, 12, 13, 17, 26) for at in range(len(u) - n + 1)} | {"zz.example.org/none", "src9.example.com/a/1"})
+    every = spark.createDataFrame(list(enumerate(urls)), "article_id long, url string")
+    asked = spark.createDataFrame(list(enumerate(pieces)), "query_id long, url string")
+    got = {r.url: r.article_id for r in lookup.find_article(asked, every).collect()}
+    assert got == {p: min(((u, i) for i, u in enumerate(urls) if p in u), default=(None, None))[1] for p in pieces}
+    offered = asked.filter(F.length("url") >= 12).select("url", lookup._grams(F.col("url"), F.lit(12), lookup.STEP).alias("grams")).collect()
+    for row in offered:
+        assert len(row.grams) <= (len(row.url) - 12) // 4 + 2
+        assert all(any(row.url[at:at + 9] in g for g in row.grams) for at in range(len(row.url) - 8))
+
+
+def test_both_logs_read_one_list_of_related(spark, tmp_path, monkeypatch):
+    """append_search_log on tables of its own: what is related is stored once, not worked out for each run of the log."""
+    docs = [(i, f"story number {i // 3} of the day about topic{i // 3} and {'abc'[i % 3]}", "en", f"src{i % 2}", 30) for i in range(12)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "https://other.example.org/page?x=1", "<p>a</p>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    real, seen = lookup.search_log, []
+
+    def spy(asked, hits, related):
+        seen.append(related.inputFiles())
+        return real(asked, hits, related)
+
+    monkeypatch.setattr(lookup, "search_log", spy)
+    rows = catalog.append_search_log(spark, str(tmp_path)).collect()
+    assert len(rows) == 2 * (2 * len(docs) + 1) and sum(r.status_code == 404 for r in rows) == 2
+    assert {r.response_count for r in rows if r.status_code == 200} == {2}
+    assert len(seen) == 2 and seen[0] == seen[1] and all("/staged/related-" in f for f in seen[0])
+
+
+def test_articles_are_cut_to_the_sizes_asked_for(spark, monkeypatch):
+    real, seen = lookup._containing, []
+    monkeypatch.setattr(lookup, "_containing", lambda missed, articles, sizes, held: seen.append(sizes) or real(missed, articles, sizes, held))
+    every = spark.createDataFrame([(1, "https://src1.example.com/a/1"), (2, "https://src2.example.com/a/2")], "article_id long, url string")
+    for pieces, want in ((["src1.example.com/a/1"], [[12]]), (["src2", "a/1", "src1.example.com/a/1"], [[12], [3, 4]])):
+        seen.clear()
+        found = lookup.find_article(spark.createDataFrame(list(enumerate(pieces)), "query_id long, url string"), every)
+        assert seen == want and {r.url: r.article_id for r in found.collect()} == {p: 2 if p == "src2" else 1 for p in pieces}
