@@ -11,6 +11,7 @@ from storyweave.operators import clusters, report, similarity, terms
 from storyweave.operators.graph import components, spanning_forest
 from storyweave.operators.similarity import Limits
 from storyweave.operators.windows import RUN, single_run, sliding_windows
+from storyweave.session import staged
 
 # Small limits force several blocks on a handful of articles.
 LIMITS = [Limits(), Limits(block_postings=150, block_articles=16)]
@@ -400,3 +401,29 @@ def test_windows_of_few_edges_need_no_rounds(spark, monkeypatch):
     monkeypatch.undo()
     monkeypatch.setattr("storyweave.operators.graph.checkpointed", None)
     assert found() == want and len(want[0]) < len(rows)
+
+
+def test_densities_of_a_whole_window_need_no_second_shuffle(spark, monkeypatch):
+    """Densities and the forest among core articles come from one task; in windows of many blocks from two steps, with the same result."""
+    corpus, small = corpus_of(spark, random_docs(9)), Limits(block_postings=150, block_articles=16)
+    found = lambda limits: sorted(clusters.label_members(corpus, clusters.dbscan(corpus, 1.0, 3, True, limits)).select("article_id", "label").collect())
+    steps = similarity.degrees
+    monkeypatch.setattr(similarity, "degrees", None)
+    whole = found(Limits())
+    monkeypatch.setattr(similarity, "degrees", steps)
+    monkeypatch.setattr(similarity, "TASK_BLOCKS", 1)
+    assert whole == found(small) and len({label for _, label in whole}) > 2
+
+
+def test_blocks_are_stored_once_and_read_by_the_tasks(spark, monkeypatch):
+    """No article is copied for the pairs of blocks that it is compared in, and each pair of blocks is compared once."""
+    reps, small = corpus_of(spark, random_docs(10)).reps, Limits(block_postings=60, block_articles=6)
+    whole = sorted(similarity.edges(reps, 0.3).collect())
+    monkeypatch.setattr(similarity, "TASK_BLOCKS", 1)
+    kept = {}
+    monkeypatch.setattr(similarity, "staged", lambda df, name, *by: kept.setdefault(name, staged(df, name, *by)))
+    assert sorted(similarity.edges(reps, 0.3, "pairs", small).collect()) == whole
+    assert kept["placed"].count() == reps.count() and "terms" not in kept["strips"].columns
+    pairs = [(r.lo, o.hi) for r in kept["strips"].collect() for o in r.others]
+    n = kept["blocks"].count()
+    assert n > similarity.STRIP and len(pairs) == len(set(pairs)) == n * (n + 1) // 2
