@@ -2,6 +2,7 @@
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,3 +186,58 @@ def test_neighbouring_windows_in_a_task_give_the_clusters_of_single_ones(spark,
     monkeypatch.setattr(similarity, "STRETCH_ROWS", 0)
     assert similarity.sliding_links(counts, Panes(timedelta(hours=hours), timedelta(hours=slide)), 0.6) is None
     assert told() == together
+
+
+def files_in(folder):
+    """The Parquet files of each folder below."""
+    found = {}
+    for file in Path(folder).rglob("part-*.parquet"):
+        found.setdefault(file.parent.name, []).append(file.name)
+    return found
+
+
+def test_many_small_folders_are_written_by_several_tasks(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    rows = spark.createDataFrame([(i, start + timedelta(days=i % 40)) for i in range(400)], "k long, added_at timestamp")
+    tables.append(rows, str(tmp_path / "table"), tables.Layout(("k",), 2))
+    log = rows.select("k", F.col("added_at").alias("timestamp"))
+    tables.append_search_log(log, str(tmp_path / "log"))
+    for name in ("table", "log"):
+        files = [file for found in files_in(tmp_path / name).values() for file in found]
+        assert len({file.split("-")[1] for file in files}) > 1, name
+    assert all(len(found) == 1 for found in files_in(tmp_path / "log").values())
+
+
+def found_clusters(spark, windows, links):
+    """Each window one cluster of so many links, dealt over eight tasks."""
+    of = windows.select(F.unix_micros("end").cast("string").alias("id"), "begin", "end").repartition(8)
+    members = of.select(F.col("id").alias("cluster_id"), F.explode(F.sequence(F.lit(1).cast("long"), F.lit(links))).alias("article_id")).repartition(8)
+    words = members.select("cluster_id", F.col("article_id").cast("string").alias("term"), F.lit(1.0).alias("weight"))
+    return clusters.Clusters(of, members, words)
+
+
+def test_replaced_windows_get_a_file_each(spark, tmp_path, monkeypatch):
+    start = datetime(2024, 1, 1)
+    windows = spark.createDataFrame([(start + timedelta(days=i), start + timedelta(days=i + 1)) for i in range(12)], "begin timestamp, end timestamp")
+    keep = tables.staged
+    monkeypatch.setattr(tables, "staged", lambda df, name: keep(df.repartition(8), name))  # as many files as tasks of a larger table
+    tables.replace_windows(found_clusters(spark, windows, 20), windows, str(tmp_path / "many"))
+    for name in ("articlecluster", "articleclusterlink", "articleclusterkeyword"):
+        found = files_in(tmp_path / "many" / name)
+        assert len(found) == 12 and all(len(files) == 1 for files in found.values()), name
+    assert spark.read.parquet(str(tmp_path / "many" / "articleclusterlink")).filter("cluster_id is not null").count() == 240
+    tables.replace_windows(found_clusters(spark, windows.limit(1), 200), windows.limit(1), str(tmp_path / "one"))
+    assert [len(files) > 1 for files in files_in(tmp_path / "one" / "articleclusterlink").values()] == [True]
+
+
+def test_folders_are_listed_many_a_task(spark, tmp_path):
+    for i in range(120):
+        (tmp_path / "table" / f"day={i}").mkdir(parents=True)
+    spark.range(3).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "table" / "day=0"))
+    context = spark.sparkContext
+    context.setJobGroup("listing", "listing")
+    spark.read.schema("id long").parquet(str(tmp_path / "table"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    told = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert told and max(s.numTasks for s in told if s) <= 32
