@@ -94,6 +94,42 @@ def test_panes_give_the_vectors_of_copied_rows(spark, hours, slide):
     assert sorted(holding.collect()) == sorted(want.collect())
 
 
+def _odd_counts(spark):
+    """Articles without a number, terms and counts of null, an article of two times, one of null terms only, and rows without a time."""
+    rng = random.Random(7)
+    found = []
+    for i in range(80):
+        at = datetime(2024, 1, 1) + timedelta(minutes=30 * rng.randrange(144))
+        found += [(i if i % 9 else None, t, rng.randrange(0, 4), at) for t in set(rng.choices(["a", "b", "c", "dé", "漢字", "g", ""], k=4))]
+    at = datetime(2024, 1, 2, 3, 30)
+    found += [(5, "a", 2, at), (5, "a", 1, at + timedelta(minutes=7)), (200, None, 3, at), (201, "a", None, at), (201, "b", 2, at), (202, None, 1, at), (202, "c", 1, at), (203, "a", 1, None),
+              (204, "g", 0, at)]
+    return spark.createDataFrame(found, "article_id int, term string, count long, added_at timestamp").repartition(3)
+
+
+@pytest.mark.parametrize("rows,packed", [(2_000_000, 65_536), (2_000_000, 3), (90, 65_536), (60, 20), (0, 5)])
+def test_stretches_and_joins_weigh_windows_alike(spark, monkeypatch, rows, packed):
+    monkeypatch.setattr(terms, "STRETCH_ROWS", rows)
+    monkeypatch.setattr(terms, "PACK_ROWS", packed)
+    counts, size, step = _odd_counts(spark), timedelta(hours=6), timedelta(hours=2)
+
+    def told(vectors):
+        return sorted(str((r.begin, r.end, r.article_id, [(e.term, e["count"], round(e.weight, 9)) for e in r.vector])) for r in vectors.collect())
+
+    panes = Panes(size, step)
+    placed = counts.select("article_id", "term", "count", panes.pane().alias("pane")).filter("pane is not null")
+    every = placed.select(F.explode(panes.stretches(3)).alias("stretch")).distinct()
+    want = told(terms._sliding_by_joins(placed, panes, 3, every))
+    got = told(terms.sliding_tfidf_vectors(counts, size, step))
+    assert got == want and any("None" in x for x in got)
+
+
+def test_sliding_windows_shuffle_packed_articles_only(spark):
+    """Term counts go out once, packed by article, to the task of their windows; none is joined with frequencies."""
+    found = plan_of(terms.sliding_tfidf_vectors(_odd_counts(spark), timedelta(hours=12), timedelta(hours=6)))
+    assert "Join" not in found and "hashpartitioning(term" not in found and found.count("hashpartitioning(stretch") == 1
+
+
 def test_sizes_that_slides_do_not_divide(spark):
     with pytest.raises(ValueError, match="multiple"):
         Panes(timedelta(hours=5), timedelta(hours=2))
